@@ -27,6 +27,7 @@ from lexisieve.functions.patterns import (
     SPACE,
     STARTS_WORD,
     WORD,
+    has_beyond_ascii,
     lookup,
     replace_computed,
 )
@@ -120,9 +121,14 @@ def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def _runs(char_class: str) -> str:
+    """Runs of a class, except the single spaces that would replace themselves."""
+    return f"[{char_class}](?:[{char_class}]+|(?<=[^ ]))"
+
+
 def collapse_space(col: Column) -> Column:
     """Unicode whitespace runs become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(col, f"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(col, _runs(SPACE), " "))
 
 
 def is_blank(col: Column) -> Column:
@@ -160,7 +166,8 @@ def late_fold(lowered: Column) -> Column:
     expanded = replace_computed(
         moved, "[" + "".join(several) + "]", lambda hit: lookup(several)[hit]
     )
-    return F.when(lowered.rlike(f"[^{_FOLDED}]"), expanded).otherwise(lowered)
+    unusual = has_beyond_ascii(lowered) & lowered.rlike(f"[^{_FOLDED}]")
+    return F.when(unusual, expanded).otherwise(lowered)
 
 
 def report_key(col: Column) -> Column:
@@ -188,7 +195,7 @@ def _nfkc_batch(texts: pd.Series) -> pd.Series:
 
 # Text made of these characters only is already in NFKC.
 _NFKC_STABLE = (
-    r"\x00-\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\x{131}\x{134}-\x{13e}"
+    r"\x00-\x7f\xbf-\x{131}\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\x{134}-\x{13e}"
     r"\x{141}-\x{148}\x{14a}-\x{17e}\x{391}-\x{3a1}\x{3a3}-\x{3ce}\x{400}-\x{482}\x{48a}-\x{52f}"
     r"\x{2010}\x{2012}-\x{2016}\x{2018}-\x{2023}\x{3001}\x{3002}\x{3041}-\x{3096}\x{30a1}-\x{30fa}"
     r"\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}"
@@ -201,26 +208,34 @@ def unescape_html(col: Column) -> Column:
 
 
 def nfkc(col: Column) -> Column:
-    return F.coalesce(_nfkc_batch(F.when(col.rlike(f"[^{_NFKC_STABLE}]"), col)), col)
+    unstable = has_beyond_ascii(col) & col.rlike(f"[^{_NFKC_STABLE}]")
+    return F.coalesce(_nfkc_batch(F.when(unstable, col)), col)
 
 
 def strip_tags(col: Column) -> Column:
     no_breaks = F.regexp_replace(col, f"(?iu)<[{SPACE}]*br[{SPACE}]*/?[{SPACE}]*>", " ")
-    return F.regexp_replace(no_breaks, "<[^>]+>", " ")
+    return F.when(col.contains("<"), F.regexp_replace(no_breaks, "<[^>]+>", " ")).otherwise(col)
 
 
 def fold_typography(col: Column) -> Column:
     """Curly quotes, no-break spaces, dashes and the ellipsis in ASCII."""
-    col = F.regexp_replace(col, f"[{SINGLE_QUOTES}]", "'")
-    col = F.regexp_replace(col, f"[{DOUBLE_QUOTES}]", '"')
-    col = F.regexp_replace(col, f"[{NO_BREAK_SPACES}]", " ")
-    col = F.regexp_replace(col, f"[{DASHES}]", " - ")
-    return F.regexp_replace(col, ELLIPSIS, " ... ")
+    plain = F.regexp_replace(col, f"[{SINGLE_QUOTES}]", "'")
+    plain = F.regexp_replace(plain, f"[{DOUBLE_QUOTES}]", '"')
+    plain = F.regexp_replace(plain, f"[{NO_BREAK_SPACES}]", " ")
+    plain = F.regexp_replace(plain, f"[{DASHES}]", " - ")
+    plain = F.regexp_replace(plain, ELLIPSIS, " ... ")
+    # one test over ranges that contain all but the backtick
+    special = has_beyond_ascii(col) & col.rlike(r"[\xa0\x{2007}-\x{202f}\x{2212}]")
+    return F.when(col.contains("`") | special, plain).otherwise(col)
+
+
+# SPACE, INVISIBLE and CONTROL in as few ranges as they fit.
+_UNSEEN = r"\x00- \x7f\x85\p{Z}\x{200b}-\x{200d}\x{feff}"
 
 
 def drop_unseen(col: Column) -> Column:
     """Invisible and control characters become spaces; whitespace is collapsed."""
-    return F.trim(F.regexp_replace(col, f"[{SPACE}{INVISIBLE}{CONTROL}]+", " "))
+    return F.trim(F.regexp_replace(col, _runs(_UNSEEN), " "))
 
 
 # --- masking ----------------------------------------------------------------
@@ -232,21 +247,26 @@ def mask_email(col: Column) -> Column:
 
 
 def mask_url(col: Column) -> Column:
-    return F.regexp_replace(
-        col, rf"(?iu){STARTS_WORD}(?:https?://|www\.)[^{SPACE}]+", " __url__ "
+    masked = F.regexp_replace(
+        col, rf"(?iu)(?=[hw]){STARTS_WORD}(?:https?://|www\.)[^{SPACE}]+", " __url__ "
     )
+    return F.when(col.contains("://") | col.rlike(r"[wW]{3}\."), masked).otherwise(col)
 
 
 def expand_listed_contractions(col: Column) -> Column:
     by_length = sorted(CONTRACTIONS, key=len, reverse=True)
-    pattern = f"(?i){STARTS_WORD}(?:{'|'.join(by_length)}){ENDS_WORD}"
-    return replace_computed(
+    pattern = f"(?i)(?=[a-z]){STARTS_WORD}(?:{'|'.join(by_length)}){ENDS_WORD}"
+    expanded = replace_computed(
         col, pattern, lambda hit: F.coalesce(lookup(CONTRACTIONS)[F.lower(hit)], hit)
     )
+    return F.when(col.contains("'"), expanded).otherwise(col)
 
 
 def expand_other_negations(col: Column) -> Column:
-    return F.regexp_replace(col, f"(?iu){STARTS_WORD}([A-Za-z]+)n't{ENDS_WORD}", "$1 not")
+    expanded = F.regexp_replace(
+        col, f"(?iu)(?=[a-z]){STARTS_WORD}([A-Za-z]+)n't{ENDS_WORD}", "$1 not"
+    )
+    return F.when(col.contains("'"), expanded).otherwise(col)
 
 
 @lru_cache(maxsize=1)
@@ -267,28 +287,39 @@ def _rating_token(score: Column, total: float) -> Column:
 
 _GAP = f"[{SPACE}]*"
 _TEN = r"(10|[0-9](?:\.\p{Nd}+)?)"
-_OUT_OF_TEN = f"(?iu){STARTS_WORD}{_TEN}{_GAP}out[{SPACE}]+of[{SPACE}]+10{ENDS_WORD}"
-_SLASH_TEN = f"(?iu){STARTS_WORD}{_TEN}{_GAP}/{_GAP}10{ENDS_WORD}(?!{_GAP}/)"
+_OUT_OF_TEN = f"(?iu)(?=[0-9]){STARTS_WORD}{_TEN}{_GAP}out[{SPACE}]+of[{SPACE}]+10{ENDS_WORD}"
+_SLASH_TEN = f"(?iu)(?=[0-9]){STARTS_WORD}{_TEN}{_GAP}/{_GAP}10{ENDS_WORD}(?!{_GAP}/)"
 _STARS = f"{_GAP}-?{_GAP}(?:star|stars){ENDS_WORD}"
-_DIGIT_STARS = rf"(?iu){STARTS_WORD}([0-5](?:\.\p{{Nd}}+)?){_STARS}"
-_WORD_STARS = f"(?iu){STARTS_WORD}({'|'.join(STAR_WORDS)}){_STARS}"
+_DIGIT_STARS = rf"(?iu)(?=[0-5]){STARTS_WORD}([0-5](?:\.\p{{Nd}}+)?){_STARS}"
+_WORD_STARS = f"(?iu)(?=[zotf][a-z]{{2}}){STARTS_WORD}({'|'.join(STAR_WORDS)}){_STARS}"
+
+
+def _mark_ratings(col: Column, gate: Column, pattern: str, total: float, score=None) -> Column:
+    marked = replace_computed(
+        col, pattern, lambda hit: _rating_token(score(hit) if score else hit, total), 1
+    )
+    return F.when(gate, marked).otherwise(col)
 
 
 def mark_out_of_ten(col: Column) -> Column:
-    return replace_computed(col, _OUT_OF_TEN, lambda n: _rating_token(n, 10.0), 1)
+    return _mark_ratings(col, col.contains("10"), _OUT_OF_TEN, 10.0)
 
 
 def mark_slash_ten(col: Column) -> Column:
-    return replace_computed(col, _SLASH_TEN, lambda n: _rating_token(n, 10.0), 1)
+    return _mark_ratings(col, col.contains("10"), _SLASH_TEN, 10.0)
+
+
+def _names_stars(col: Column) -> Column:
+    return col.rlike("(?iu)star")
 
 
 def mark_digit_stars(col: Column) -> Column:
-    return replace_computed(col, _DIGIT_STARS, lambda n: _rating_token(n, 5.0), 1)
+    return _mark_ratings(col, _names_stars(col), _DIGIT_STARS, 5.0)
 
 
 def mark_word_stars(col: Column) -> Column:
-    return replace_computed(
-        col, _WORD_STARS, lambda word: _rating_token(lookup(STAR_WORDS)[F.lower(word)], 5.0), 1
+    return _mark_ratings(
+        col, _names_stars(col), _WORD_STARS, 5.0, lambda word: lookup(STAR_WORDS)[F.lower(word)]
     )
 
 
@@ -296,7 +327,7 @@ def mark_grades(col: Column) -> Column:
     grades = "|".join(grade.replace("+", r"\+") for grade in HIGH_GRADES + LOW_GRADES)
     return replace_computed(
         col,
-        f"(?i){STARTS_WORD}(?:{grades}){ENDS_WORD}",
+        f"(?i)(?=[abdf][+-]){STARTS_WORD}(?:{grades}){ENDS_WORD}",
         lambda hit: F.when(F.lower(hit).isin(HIGH_GRADES), F.lit(" __grade_high__ ")).otherwise(
             F.lit(" __grade_low__ ")
         ),
@@ -304,9 +335,10 @@ def mark_grades(col: Column) -> Column:
 
 
 def mark_punctuation_runs(col: Column) -> Column:
-    col = F.regexp_replace(col, r"(?:!\?|\?!)[!?]*", " __mixed_punct__ ")
-    col = F.regexp_replace(col, r"!{2,}", " __repeat_exclamation__ ")
-    return F.regexp_replace(col, r"\?{2,}", " __repeat_question__ ")
+    marked = F.regexp_replace(col, r"(?:!\?|\?!)[!?]*", " __mixed_punct__ ")
+    marked = F.regexp_replace(marked, r"!{2,}", " __repeat_exclamation__ ")
+    marked = F.regexp_replace(marked, r"\?{2,}", " __repeat_question__ ")
+    return F.when(col.rlike("[!?]{2}"), marked).otherwise(col)
 
 
 def shorten_elongation(col: Column) -> Column:
@@ -319,7 +351,7 @@ _TRIGGER = f"(?i:{'|'.join(NEGATION_TRIGGERS)})(?![^ ])"
 # Over text whose tokens are separated by one space: a trigger, then up to four
 # words that are no trigger, with any symbols but a boundary in between.
 _SCOPE = (
-    f"(?<![^ ]){_TRIGGER}"
+    f"(?=[nNcCwWhHbBrR])(?<![^ ]){_TRIGGER}"
     f"(?:(?: [^{WORD} {NEGATION_BOUNDARIES}])*+ (?!{_TRIGGER})[{WORD}]++){{0,{NEGATION_WINDOW}}}"
 )
 

@@ -15,9 +15,14 @@ LABEL_MEANINGS = {
 LABELS = list(LABEL_MEANINGS)
 
 
+# What counts as a number; Java alone would also take "1d" and hexadecimal.
+_NUMBER = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
 def to_number(col: Column) -> Column:
-    """Number or null, whatever the column holds; surrounding blanks do not count."""
-    return F.trim(col.cast("string")).try_cast("double")
+    """Number or null, whatever the column holds; blanks around it do not count."""
+    text = F.trim(col.cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def finite(number: Column) -> Column:
@@ -83,7 +88,12 @@ def label_distribution(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
     expected = label_table(train).select(F.col("LABEL").cast("double").alias("value"))
     shown = by_value.join(expected, "value", "full_outer").select(
         F.when(F.col("value").isNull(), F.lit("missing_or_unparseable"))
-        .when(F.col("value") == F.rint("value"), F.col("value").cast("bigint").cast("string"))
+        .when(
+            F.col("value") == F.rint("value"),
+            F.coalesce(
+                F.col("value").try_cast("bigint").cast("string"), F.col("value").cast("string")
+            ),
+        )
         .otherwise(F.col("value").cast("string"))
         .alias("LABEL"),
         F.when(F.col("value").isNull(), F.lit("missing or unparseable label"))
@@ -103,13 +113,17 @@ def label_integrity(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("count"))), F.lit(0))
 
-    unexpected = F.collect_list(F.when(~valid, F.col("value")))
+    # one entry per distinct value; shown as integers unless some row needs a float
+    unexpected = F.array_sort(F.collect_list(F.when(~valid, F.col("value"))))
+    whole = rows(missing | (F.col("value") != F.rint("value"))) == 0
     return by_value.agg(
         rows(valid).alias("valid_label_rows"),
         rows(missing).alias("missing_or_unparseable_rows"),
         rows(~valid).alias("unexpected_label_rows"),
-        F.array_join(F.transform(F.array_sort(unexpected), lambda v: v.cast("string")), ", ").alias(
-            "unexpected_label_values"
-        ),
+        F.array_join(
+            F.when(whole, F.transform(unexpected, lambda v: v.try_cast("bigint").cast("string")))
+            .otherwise(F.transform(unexpected, lambda v: v.cast("string"))),
+            ", ",
+        ).alias("unexpected_label_values"),
         (rows(missing | ~valid) == 0).alias("all_training_labels_valid"),
     )

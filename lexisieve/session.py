@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -33,11 +35,22 @@ def _work_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts lineage, survives lost executors and keeps column pruning for readers.
+    ``schema`` may give the stored columns richer types on the way back.
     """
     path = f"{_work_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """More partitions for a plain scan that has fewer than there are cores.
+
+    Text work is heavy per row, and a table of few files gives few tasks. A large
+    table has enough splits of its own and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
