@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexisieve.functions.patterns import SPACE, WORD
+from lexisieve.functions.normalize import collapse_space
+from lexisieve.functions.patterns import WORD
 
 
 def word_tokens(text: Column) -> Column:
@@ -28,26 +29,23 @@ def word_ngrams(tokens: Column, low: int, high: int) -> Column:
 
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
-    """Substrings of ``low..high`` characters of each word, one space on each side.
+    """Substrings of ``low..high`` (at least 3) characters of each word with one
+    space on each side; a word shorter than a size has no gram of that size.
 
-    A word shorter than a size has no gram of that size.
+    With one space between words, these are the substrings without an inner
+    space, which a look-ahead collects in one linear scan per size.
     """
-    words = F.filter(F.split(F.lower(text), f"[{SPACE}]+"), lambda word: word != "")
-
-    def grams(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-        sizes = F.sequence(F.lit(low), F.least(F.lit(high), F.length(word) + 2))
-        return F.flatten(
-            F.transform(
-                sizes,
-                lambda size: F.transform(
-                    F.sequence(F.lit(1), F.length(word) + 3 - size),
-                    lambda start: F.substring(padded, start, size),
-                ),
-            )
+    padded = F.concat(F.lit(" "), collapse_space(F.lower(text)), F.lit(" "))
+    by_size = [
+        F.regexp_extract_all(
+            padded,
+            # never start between the two halves of a character beyond the BMP
+            F.lit(rf"(?s)(?![\x{{dc00}}-\x{{dfff}}])(?=(.[^ ]{{{size - 2}}}.))"),
+            F.lit(1),
         )
-
-    return F.flatten(F.transform(words, grams))
+        for size in range(low, high + 1)
+    ]
+    return F.concat(*by_size)
 
 
 def with_term_counts(df: DataFrame, terms: Column, out: str = "term_counts") -> DataFrame:

@@ -173,6 +173,23 @@ def test_char_ngrams(spark):
     )
 
 
+def grams_by_hand(text, low, high):
+    found = []
+    for word in text.lower().split():
+        padded = f" {word} "
+        for size in range(low, high + 1):
+            found += [padded[i : i + size] for i in range(len(padded) - size + 1)]
+    return sorted(found)
+
+
+def test_char_ngrams_against_brute_force(spark):
+    rng = random.Random(11)
+    pool = ["a", "B", "é", " ", "\t", "\N{GRINNING FACE}", "_", "1", "\N{IDEOGRAPHIC SPACE}"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    df = frame(spark, texts).withColumn("g", char_ngrams(F.col("TEXT"), 3, 6))
+    assert [sorted(g) for g in values(df, "g")] == [grams_by_hand(t, 3, 6) for t in texts]
+
+
 def test_word_ngrams_and_counts(spark):
     df = frame(spark, ["Aa bb, aa x bb", "", "one"]).withColumn("w", word_tokens(F.col("TEXT")))
     df = df.withColumn("g", word_ngrams(F.col("w"), 1, 3))
