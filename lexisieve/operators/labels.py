@@ -31,9 +31,9 @@ def finite(number: Column) -> Column:
 
 
 def is_integral(number: Column) -> Column:
-    """Within float tolerance of an integer."""
+    """Within float tolerance of an integer; an infinity counts as one."""
     whole = F.rint(number)
-    return F.abs(number - whole) <= 1e-8 + 1e-5 * F.abs(whole)
+    return (number == whole) | (F.abs(number - whole) <= 1e-8 + 1e-5 * F.abs(whole))
 
 
 def label_name(number: Column) -> Column:
