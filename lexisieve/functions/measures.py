@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexisieve.functions.normalize import is_blank, text_or_empty
-from lexisieve.functions.patterns import WORD, count_chars
+from lexisieve.functions.patterns import WORD, count_char, count_chars
 
 # --- fixed values: names and order of the outputs -----------------------------
 
@@ -37,8 +37,8 @@ def report_measures(text: Column) -> dict[str, Column]:
     return {
         "char_count": F.length(raw).cast("double"),
         "word_count": F.regexp_count(raw, F.lit(f"[{WORD}][{WORD}']*[{WORD}]")).cast("double"),
-        "exclamation_count": count_chars(raw, "!").cast("double"),
-        "question_count": count_chars(raw, "?").cast("double"),
+        "exclamation_count": count_char(raw, "!").cast("double"),
+        "question_count": count_char(raw, "?").cast("double"),
         "uppercase_ratio": F.coalesce(F.try_divide(capitals, letters), F.lit(0.0)),
         "is_blank_text": is_blank(text),
         "has_url": raw.rlike(r"(?iu)https?://|www\."),
@@ -48,14 +48,17 @@ def report_measures(text: Column) -> dict[str, Column]:
 
 
 @lru_cache(maxsize=1)
-def _digit_class() -> str:
-    """Decimal digits plus the digits Unicode files under other numbers."""
-    others = [
-        rf"\x{{{point:x}}}"
-        for point in range(0x20000)
-        if chr(point).isdigit() and unicodedata.category(chr(point)) != "Nd"
-    ]
-    return r"\p{Nd}" + "".join(others)
+def _unusual_digits() -> str:
+    """Class of the digits that Unicode files under other numbers."""
+    chars = (chr(point) for point in range(0x20000))
+    return "".join(
+        rf"\x{{{ord(c):x}}}" for c in chars if c.isdigit() and unicodedata.category(c) == "No"
+    )
+
+
+def _count_digits(text: Column) -> Column:
+    unusual = F.when(text.rlike(r"\p{No}"), count_chars(text, _unusual_digits())).otherwise(0)
+    return count_chars(text, r"\p{Nd}") + unusual
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -68,11 +71,11 @@ def surface_features(base_text: Column) -> dict[str, Column]:
     measures = [
         F.log1p(chars),
         F.log1p(F.regexp_count(base_text, F.lit(f"[{WORD}]+"))),
-        count_chars(base_text, ".!?"),
-        count_chars(base_text, "!"),
-        count_chars(base_text, "?"),
+        sum((count_char(base_text, mark) for mark in ".!?"), F.lit(0)),
+        count_char(base_text, "!"),
+        count_char(base_text, "?"),
         _share(count_chars(base_text, r"\p{Lu}"), count_chars(base_text, r"\p{L}")),
-        _share(count_chars(base_text, _digit_class()), chars),
+        _share(_count_digits(base_text), chars),
         _share(count_chars(base_text, r"\p{P}"), chars),
         base_text.rlike(r"([!?.,;:])\1|!\?|\?!"),
     ]

@@ -54,3 +54,8 @@ def lookup(mapping: dict[str, str]) -> Column:
 def count_chars(col: Column, char_class: str) -> Column:
     """How many characters of ``col`` are in the class (no array is built)."""
     return F.length(F.regexp_replace(col, f"[^{char_class}]+", ""))
+
+
+def count_char(col: Column, char: str) -> Column:
+    """How often one ASCII character occurs, by bytes."""
+    return F.octet_length(col) - F.octet_length(F.replace(col, F.lit(char), F.lit("")))
