@@ -97,6 +97,16 @@ def test_scoring_matches_training_space(spark, root):
     assert got == pytest.approx(want)
 
 
+def test_weights_as_a_table(spark, root):
+    """Without room for a dense vector the fit still separates the classes."""
+    folder, _, _ = root
+    docs = C.prepare(read_inputs(spark, str(folder))[0])
+    model = C.fit_stage(docs, F.col("LABEL") != 0, C.STAGE1, max_iter=6, max_dense=0)
+    judged = C.stage_margin(docs, model).join(docs.select("row_idx", "LABEL"), "row_idx")
+    right = judged.filter((F.col("margin") > 0) == (F.col("LABEL") != 0)).count()
+    assert right >= 0.95 * docs.count()
+
+
 def test_fit_needs_all_labels(spark, root):
     folder, _, _ = root
     train = read_inputs(spark, str(folder))[0].filter("LABEL <> 2")
