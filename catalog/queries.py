@@ -24,9 +24,10 @@ from lexisieve.operators import split as S
 from lexisieve.plans import classifier as C
 from lexisieve.plans import report as R
 from lexisieve.plans import workflow as W
+from lexisieve.session import materialize, spread_scan
 
 QUERIES = {}
-DRIVER_ITERATIONS = 30
+DRIVER_ITERATIONS = 15
 
 
 def query(fn):
@@ -293,14 +294,14 @@ def _step(spark, d, steps, out):
 
 @query
 def html_text(spark, d):
-    pages = V.spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
+    pages = spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
     steps = [N.text_or_empty, N.unescape_html, N.strip_tags]
     return N.with_steps(pages, "html", "html_text", steps).select("page_id", "html_text")
 
 
 @query
 def page_base_text(spark, d):
-    pages = V.spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
+    pages = spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
     return N.with_base_text(pages, "html").select("page_id", "base_text")
 
 
@@ -372,9 +373,15 @@ def surface_features(spark, d):
     )
 
 
+def _based(spark, d) -> DataFrame:
+    """Base text, written once for the passes that fit and apply."""
+    base = N.with_base_text(V.decor(spark, d)).select("row_idx", "base_text")
+    return spread_scan(materialize(base))
+
+
 @query
 def surface_scaled(spark, d):
-    base = N.with_base_text(V.decor(spark, d))
+    base = _based(spark, d)
     return _round(X.scaled_surface(base, X.surface_scale(base)))
 
 
@@ -410,7 +417,8 @@ def _n(df: DataFrame) -> Column:
 
 
 def _vocab(df: DataFrame, terms: DataFrame) -> DataFrame:
-    return X.vocabulary(terms, _n(df), {"word": 2, "char": 3}, {"word": 0.95})
+    """A fitted vocabulary: written once, then joined."""
+    return materialize(X.vocabulary(terms, _n(df), {"word": 2, "char": 3}, {"word": 0.95}))
 
 
 @query
@@ -464,10 +472,10 @@ def tfidf_transform(spark, d):
 
 @query
 def feature_union(spark, d):
-    docs = N.with_base_text(V.decor(spark, d))
+    docs = _based(spark, d)
     config = X.STAGE1
     terms = X.stage_terms(docs, config, "base_text")
-    vocab = X.stage_vocabulary(terms, _n(docs), config)
+    vocab = materialize(X.stage_vocabulary(terms, _n(docs), config))
     features = X.feature_union(docs, vocab, X.surface_scale(docs), config, "base_text")
     digest = features.groupBy("row_idx", "branch").agg(
         F.count("*").alias("terms"), F.sum("weight").alias("weight_sum"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lexisieve.functions.normalize import key_digest, with_duplicate_key
 from lexisieve.operators.labels import LABELS
 from lexisieve.operators.skew import join_by_weight
+from lexisieve.session import materialize
 
 KEY = "key"
 
@@ -110,7 +111,7 @@ def without_overlap(
     train: DataFrame, test: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx"
 ) -> DataFrame:
     """Train rows whose key does not occur in test."""
-    train_keys = keyed(train.select(order_col, text_col), text_col)
+    train_keys = materialize(keyed(train.select(order_col, text_col), text_col))
     test_keys = keyed(test.select(text_col), text_col).distinct()
     # drop by row, not by key: the rows to drop are listed from narrow tables
     groups = key_groups(train_keys, order_col).join(test_keys, KEY, "left_semi")
@@ -209,7 +210,7 @@ def expand_by_key(
     ``unique_values`` is ``(order_col, value_col)`` for the rows `keep_first` returns.
     A key whose first row has no value yields null. Popular keys are split.
     """
-    keys = keyed(rows, text_col)
+    keys = materialize(keyed(rows, text_col))
     valued = (
         key_groups(keys, order_col)
         .withColumnRenamed("first_idx", order_col)

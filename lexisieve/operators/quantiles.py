@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexisieve.session import materialize
+
 BUCKETS = 1024
 
 
@@ -18,11 +20,11 @@ def numeric_summary(df: DataFrame, groups: list[str], value_col: str) -> DataFra
 
     Values are counted before the shuffle and spread by value. Ranks are then
     located in at most 1024 buckets per group, and only buckets that hold a
-    wanted rank are sorted, so no task ever holds a whole group.
+    wanted rank are sorted, so no task ever holds a whole group. The histogram is
+    written once: whatever computes the values runs a single time.
     """
     clean = F.when(~F.isnan(value_col) & (F.abs(value_col) != float("inf")), F.col(value_col))
-    histogram = df.groupBy(*groups, clean.alias("_value")).agg(F.count("*").alias("_n"))
-    # nulls stay in the histogram with no weight, so both uses below share one shuffle
+    histogram = materialize(df.groupBy(*groups, clean.alias("_value")).agg(F.count("*").alias("_n")))
     value, n = F.col("_value"), F.when(F.col("_value").isNotNull(), F.col("_n"))
     totals = histogram.groupBy(*groups).agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("count"),
