@@ -176,8 +176,12 @@ def report_key(col: Column) -> Column:
 
 
 def key_digest(key: Column) -> Column:
-    """32 bytes that stand in for a key, so long texts are not shuffled."""
-    return F.unhex(F.sha2(key, 256))
+    """32 bytes that stand in for a key, so long texts are not shuffled.
+
+    Never null, so no join asks for it to be non-null, which would be pushed down
+    and compute every key a second time.
+    """
+    return F.coalesce(F.unhex(F.sha2(key, 256)), F.lit(bytearray()))
 
 
 # --- markup and Unicode -----------------------------------------------------
