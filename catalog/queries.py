@@ -27,7 +27,7 @@ from lexisieve.plans import workflow as W
 from lexisieve.session import materialize, spread_scan
 
 QUERIES = {}
-DRIVER_ITERATIONS = 15
+DRIVER_ITERATIONS = 10
 
 
 def query(fn):
