@@ -15,7 +15,9 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lexisieve")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config("spark.sql.files.minPartitionNum", cores if cores.isdigit() else "8")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexisieve-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -23,16 +25,25 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
     )
 
 
-def _work_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local run may do without."""
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    Only where nobody set it and everything runs in one local process does the
+    session get a folder of its own; a cluster without it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="lexisieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="lexisieve-")
+    return _LOCAL_DIRS[application]
 
 
 def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
@@ -41,7 +52,7 @@ def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     Cuts lineage, survives lost executors and keeps column pruning for readers.
     ``schema`` may give the stored columns richer types on the way back.
     """
-    path = f"{_work_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{work_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
