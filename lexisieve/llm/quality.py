@@ -85,16 +85,19 @@ def count_repeated_words(words: Column) -> Column:
             bind(starts(windows), covered)
         )
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)),
-        )
-
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(
-        F.size(words) > WINDOW, bind(hashes, lambda h: bind(windows(h), counted))
-    ).otherwise(F.lit(0).cast("bigint"))
+    def paired(hashes: Column, distance: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + distance)))
+
+    def windows(words: Column) -> Column:
+        # hashes of 2, 4 and 8 words; windows cut short by the text's end equal no other
+        hashes = F.transform(words, lambda w: F.xxhash64(w))
+        for distance in (1, 2, 4):
+            hashes = bind(hashes, lambda h: paired(h, distance))
+        return hashes
+
+    return F.when(F.size(words) > WINDOW, bind(windows(words), counted)).otherwise(
+        F.lit(0).cast("bigint")
+    )
 
 
 def _char_classes(df: DataFrame) -> DataFrame:
@@ -112,7 +115,8 @@ def _common_counts(words: Column, lang: Column, lists: dict[str, list[str]]) ->
     """Occurrences of each common word of the row's language, in the list's order; then of all others."""
 
     def of(common: list[str]) -> Column:
-        found = F.filter(F.transform(words, F.lower), lambda w: w.isin(common))
+        forms = [form for w in common for form in (w, w.capitalize(), w.upper())]
+        found = F.transform(F.filter(words, lambda w: w.isin(forms)), F.lower)
         return bind(
             found,
             lambda f: F.array(
