@@ -1,3 +1,41 @@
 """SQL for the queries of this package that SQL can express."""
 
+from __future__ import annotations
+
 ORACLE: dict[str, str] = {}
+
+
+def _escaped(column: str) -> str:
+    done = f"replace({column}, '\\', '\\\\')"
+    for control in (
+        "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE]", "[/ROLE]", "[/TURN]",
+    ):
+        done = f"replace({done}, '{control}', '{control[0]}\\{control[1:]}')"
+    return done
+
+
+ORACLE["op3_chat_format"] = f"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+    SELECT *, row_number() OVER w - 1 AS pos,
+        coalesce(lag(role) OVER w, 'start') AS before, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS last
+    FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+    SELECT *,
+        (before IN ('start', 'assistant') AND role = 'user') OR (before = 'start' AND role = 'system')
+        OR (before = 'system' AND role = 'user') OR (before = 'user' AND role = 'assistant') AS legal,
+        length({_escaped('text')}) + CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15
+            WHEN 'assistant' THEN 7 ELSE 20 + length({_escaped('role')}) END AS chars
+    FROM placed
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars,
+    bool_and(legal) AND bool_or(last AND role = 'assistant') AS valid,
+    (min(pos) FILTER (NOT legal))::BIGINT AS first_bad
+FROM judged GROUP BY conv_id"""
