@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import chat, quality
+from lexisieve.llm import chat, licenses, quality
 from lexisieve.llm.common import table
 
 QUERIES = {}
@@ -51,3 +51,9 @@ def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
         "valid",
         "first_bad",
     )
+
+
+@query
+def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return licenses.license_scan(docs)[0]
