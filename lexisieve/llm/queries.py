@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import chat, licenses, quality
+from lexisieve.llm import chat, licenses, quality, sharding
 from lexisieve.llm.common import table
 
 QUERIES = {}
@@ -57,3 +57,14 @@ def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return licenses.license_scan(docs)[0]
+
+
+@query
+def op8_shard_minimax(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return sharding.shard_documents(docs, 24).select(
+        "doc_id", "size", "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
