@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import chat, licenses, quality, sharding
+from lexisieve.llm import bpe, chat, licenses, quality, sharding
 from lexisieve.llm.common import table
 
 QUERIES = {}
@@ -68,3 +69,20 @@ def op8_shard_minimax(spark: SparkSession, d: str) -> DataFrame:
         "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def with_token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id`` and digests of a text's ids and of what they decode to."""
+    encoded = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return with_token_digests(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
