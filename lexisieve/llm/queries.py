@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import bpe, chat, licenses, quality, sharding
+from lexisieve.llm import bpe, chat, jaccard, licenses, quality, sharding
 from lexisieve.llm.common import table
 
 QUERIES = {}
@@ -86,3 +86,8 @@ def with_token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return with_token_digests(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, d, "documents"))
