@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import bpe, chat, jaccard, licenses, quality, sharding
+from lexisieve.llm import ann, bpe, chat, jaccard, licenses, quality, sharding
 from lexisieve.llm.common import table
 
 QUERIES = {}
@@ -91,3 +91,10 @@ def op2_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, d, "documents"))
+
+
+@query
+def op5_projection_forest(spark: SparkSession, d: str) -> DataFrame:
+    """Queries: rows whose id is divisible by 20, against all rows."""
+    vectors = table(spark, d, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
