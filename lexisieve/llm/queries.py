@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import ann, bpe, chat, jaccard, licenses, quality, sharding
+from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, quality, sharding
 from lexisieve.llm.common import table
+from lexisieve.session import materialize
 
 QUERIES = {}
 
@@ -98,3 +99,14 @@ def op5_projection_forest(spark: SparkSession, d: str) -> DataFrame:
     """Queries: rows whose id is divisible by 20, against all rows."""
     vectors = table(spark, d, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@query
+def op10_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's cell, probability and fate."""
+    rows = table(spark, d, "documents").select(
+        "doc_id", "source", "lang",
+        mixing.topic_of(F.col("text")).alias("topic"),
+        mixing.token_count(F.col("text")).alias("n_tokens"),
+    )
+    return mixing.mixture(materialize(rows))
