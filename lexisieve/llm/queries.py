@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, quality, sharding
+from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, quality, secrets, sharding
 from lexisieve.llm.common import table
 from lexisieve.session import materialize
 
@@ -110,3 +110,9 @@ def op10_mixture(spark: SparkSession, d: str) -> DataFrame:
         mixing.token_count(F.col("text")).alias("n_tokens"),
     )
     return mixing.mixture(materialize(rows))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate with the forest's verdict."""
+    return secrets.scan_secrets(table(spark, d, "documents").select("doc_id", "source", "text"))
