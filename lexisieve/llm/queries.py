@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, quality, secrets, sharding
+from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, passages, quality, secrets, sharding
 from lexisieve.llm.common import table
 from lexisieve.session import materialize
 
@@ -116,3 +116,9 @@ def op10_mixture(spark: SparkSession, d: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     """Every candidate with the forest's verdict."""
     return secrets.scan_secrets(table(spark, d, "documents").select("doc_id", "source", "text"))
+
+
+@query
+def op4_compact_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Every passage of 50 words or more that other documents hold too."""
+    return passages.repeated_passages(table(spark, d, "documents"))
