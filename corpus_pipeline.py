@@ -1,22 +1,76 @@
-"""The corpus pipeline: documents through quality rules and what follows them."""
+"""The corpus pipeline: from raw documents to token ids.
+
+Quality rules drop documents, the Jaccard join leaves one of each group of near-copies,
+secrets are cut out of texts, documents are sampled to target weights, and what is left
+is encoded. All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexisieve.llm import quality
+from lexisieve.llm import bpe, jaccard, mixing, quality, secrets
 from lexisieve.session import work_dir
 
+#: Share of the tokens that the mixture is to keep.
+MIXTURE = mixing.Mixture(budget=0.7)
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality.drop_low_quality(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that links connect, the one with the least id stays."""
+    return jaccard.keep_one_of_each(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; no document goes. ``n_chars`` follows the text."""
+    found = secrets.scan_secrets(docs)
+    return secrets.redact(docs, found).withColumn(
+        "n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))
+    )
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled by probabilities raked to source, language and topic."""
+    return mixing.sample_mixture(docs, MIXTURE)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, and whether they decode to it."""
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = docs.select(
+        "doc_id", "lang", "source", F.col("text"), bpe.encode(F.col("text"), path, pattern).alias("ids")
+    )
+    return encoded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        (bpe.decode(F.col("ids"), path, pattern) == F.coalesce("text", F.lit("")).cast("binary")).alias("intact"),
+        "ids",
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("secret_scans", secret_scans),
+    ("mixture", mixture),
+    ("token_ids", token_ids),
+]
 
+# Fitted models, raking and byte pairs have no SQL form; tests hold the stages against
+# brute force.
 ORACLE_SQL = None
 
 

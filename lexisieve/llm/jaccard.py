@@ -406,3 +406,17 @@ def jaccard_classes(
             F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
         )
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class, the one with the least id; columns unchanged.
+
+    Rows of one id stay or go together; rows without an id stay.
+    """
+    classes = jaccard_classes(docs, id_col, text_col)
+    dropped = materialize(
+        classes.filter("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    )
+    if dropped.count() <= SMALL_BROADCAST:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)
