@@ -550,11 +550,20 @@ ORACLE["doc_freq_char"] = with_views(
     "SELECT term, df FROM vocab", "v_doc", **_char_grams("v_doc", "TEXT", 5), vocab=CHAR_VOCAB
 )
 ORACLE["idf_word"] = with_views(
-    "SELECT term, round(idf, 6) AS idf FROM vocab", "v_doc", **_word_grams("v_doc", "TEXT", 1), vocab=WORD_VOCAB
+    "SELECT term, round(idf, 6) AS idf FROM vocab", "v_doc", **_word_grams("v_doc", "TEXT", 2), vocab=WORD_VOCAB
+)
+ORACLE["doc_freq_char_stage2"] = with_views(
+    "SELECT term, df FROM vocab", "v_doc", **_char_grams("v_doc", "TEXT", 6),
+    vocab=_vocab("v_doc_cgrams", "v_doc", 2, None),
 )
 ORACLE["tfidf_word"] = with_views(
     "SELECT row_idx, term, round(weight, 4) AS weight FROM weights", "v_doc",
-    **_word_grams("v_doc", "TEXT", 1), vocab=WORD_VOCAB, weights=_weights("v_doc_wgrams", "vocab"),
+    **_word_grams("v_doc", "TEXT", 2), vocab=WORD_VOCAB, weights=_weights("v_doc_wgrams", "vocab"),
+)
+DIGEST = """SELECT row_idx, count(*) AS terms, round(sum(weight), 4) AS weight_sum, round(max(weight), 4) AS weight_max,
+    round(sum(weight * length(term)), 4) AS length_sum FROM weights GROUP BY 1"""
+ORACLE["tfidf_word_stage2"] = with_views(
+    DIGEST, "v_doc", **_word_grams("v_doc", "TEXT", 3), vocab=WORD_VOCAB, weights=_weights("v_doc_wgrams", "vocab"),
 )
 ORACLE["tfidf_char"] = with_views(
     """SELECT row_idx, count(*) AS terms, round(sum(weight), 4) AS weight_sum, round(max(weight), 4) AS weight_max,
@@ -566,18 +575,31 @@ ORACLE["tfidf_transform"] = with_views(
     **_word_grams("v_train", "TEXT", 2), **_word_grams("v_test", "TEXT", 2),
     vocab=_vocab("v_train_wgrams", "v_train", 2, "0.95"), weights=_weights("v_test_wgrams", "vocab"),
 )
-ORACLE["feature_union"] = with_views(
-    """SELECT row_idx, branch, count(*) AS terms, round(sum(weight), 4) AS weight_sum,
-        round(max(weight), 4) AS weight_max FROM (
-        SELECT row_idx, 'word' AS branch, weight FROM ww UNION ALL SELECT row_idx, 'char', weight FROM cw
-        UNION ALL SELECT row_idx, 'surface', 0.5 * value FROM (UNPIVOT scaled ON COLUMNS(* EXCLUDE row_idx)
-            INTO NAME feature VALUE value) WHERE value <> 0)
-    GROUP BY 1, 2""",
-    "v_decor", based=BASED, f=SURFACE,
-    scaled=f"SELECT row_idx, {', '.join(f'{_scaled(n)} AS {n}' for n in NAMES)} FROM f",
-    **_word_grams("based", "x", 2), **_char_grams("based", "x", 5),
-    wv=_vocab("based_wgrams", "based", 2, "0.95"), cv=_vocab("based_cgrams", "based", 3, None),
-    ww=_weights("based_wgrams", "wv"), cw=_weights("based_cgrams", "cv"),
+
+
+def _union_of_features(word: int, char: int, char_min: int, surface: float, text: dict[str, str], source: str) -> str:
+    """Digest of a stage's features; ``text`` defines the table ``source(row_idx, x)`` of its texts."""
+    return with_views(
+        f"""SELECT row_idx, branch, count(*) AS terms, round(sum(weight), 4) AS weight_sum,
+            round(max(weight), 4) AS weight_max FROM (
+            SELECT row_idx, 'word' AS branch, weight FROM ww UNION ALL SELECT row_idx, 'char', weight FROM cw
+            UNION ALL SELECT row_idx, 'surface', {surface} * value FROM (UNPIVOT scaled ON COLUMNS(* EXCLUDE row_idx)
+                INTO NAME feature VALUE value) WHERE value <> 0)
+        GROUP BY 1, 2""",
+        "v_decor", based=BASED, f=SURFACE,
+        scaled=f"SELECT row_idx, {', '.join(f'{_scaled(n)} AS {n}' for n in NAMES)} FROM f",
+        **CLEAN_CHAIN, **text,
+        **_word_grams(source, "x", word), **_char_grams(source, "x", char),
+        wv=_vocab(f"{source}_wgrams", source, 2, "0.95"), cv=_vocab(f"{source}_cgrams", source, char_min, None),
+        ww=_weights(f"{source}_wgrams", "wv"), cw=_weights(f"{source}_cgrams", "cv"),
+    )
+
+
+ORACLE["feature_union"] = _union_of_features(2, 5, 3, 0.5, {}, "s4")
+ORACLE["feature_union_stage2"] = _union_of_features(
+    3, 6, 2, 1.0,
+    _negation("s4", "x") | {"negated": "SELECT row_idx, coalesce(x, '') AS x FROM v_decor LEFT JOIN joined USING (row_idx)"},
+    "negated",
 )
 ORACLE["linear_score"] = with_views(
     """SELECT d.row_idx, round(coalesce(sum(weight * (length(term) % 5 - 2)), 0) + 0.25, 4) AS margin

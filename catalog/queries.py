@@ -24,10 +24,9 @@ from lexisieve.operators import split as S
 from lexisieve.plans import classifier as C
 from lexisieve.plans import report as R
 from lexisieve.plans import workflow as W
-from lexisieve.session import materialize, spread_scan
+from lexisieve.session import materialize
 
 QUERIES = {}
-DRIVER_ITERATIONS = 10
 
 
 def query(fn):
@@ -294,14 +293,14 @@ def _step(spark, d, steps, out):
 
 @query
 def html_text(spark, d):
-    pages = spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
+    pages = V.table(spark, d, "pages").select("page_id", "html")
     steps = [N.text_or_empty, N.unescape_html, N.strip_tags]
     return N.with_steps(pages, "html", "html_text", steps).select("page_id", "html_text")
 
 
 @query
 def page_base_text(spark, d):
-    pages = spread_scan(V.table(spark, d, "pages").select("page_id", "html"))
+    pages = V.table(spark, d, "pages").select("page_id", "html")
     return N.with_base_text(pages, "html").select("page_id", "base_text")
 
 
@@ -376,7 +375,7 @@ def surface_features(spark, d):
 def _based(spark, d) -> DataFrame:
     """Base text, written once for the passes that fit and apply."""
     base = N.with_base_text(V.decor(spark, d)).select("row_idx", "base_text")
-    return spread_scan(materialize(base))
+    return materialize(base)
 
 
 @query
@@ -409,41 +408,60 @@ def char_ngrams(spark, d):
 
 
 def _terms(df: DataFrame, **ranges) -> DataFrame:
-    return X.document_terms(df, ranges, "TEXT")
+    """N-grams, written once: they are counted, and weighed with what the counts give."""
+    return materialize(X.document_terms(df, ranges, "TEXT"))
 
 
 def _n(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def _vocab(df: DataFrame, terms: DataFrame) -> DataFrame:
+def _counts(terms: DataFrame) -> DataFrame:
+    return materialize(X.document_frequency(terms))
+
+
+def _vocab(df: DataFrame, counts: DataFrame, char_min_df: int = 3) -> DataFrame:
     """A fitted vocabulary: written once, then joined."""
-    return materialize(X.vocabulary(terms, _n(df), {"word": 2, "char": 3}, {"word": 0.95}))
+    return materialize(
+        X.vocabulary(counts, _n(df), {"word": 2, "char": char_min_df}, {"word": 0.95})
+    )
+
+
+def _corpus(spark, d) -> DataFrame:
+    return V.documents(spark, d).select("row_idx", "TEXT")
 
 
 @query
 def doc_freq_word(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
-    return _vocab(docs, _terms(docs, word=(1, 2))).select("term", "df")
+    docs = _corpus(spark, d)
+    return _vocab(docs, _counts(X.document_terms(docs, {"word": (1, 2)}, "TEXT"))).select("term", "df")
 
 
 @query
 def doc_freq_char(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
-    return _vocab(docs, _terms(docs, char=(3, 5))).select("term", "df")
+    docs = _corpus(spark, d)
+    return _vocab(docs, _counts(X.document_terms(docs, {"char": (3, 5)}, "TEXT"))).select("term", "df")
+
+
+@query
+def doc_freq_char_stage2(spark, d):
+    docs = _corpus(spark, d)
+    counts = _counts(X.document_terms(docs, {"char": (3, 6)}, "TEXT"))
+    return _vocab(docs, counts, 2).select("term", "df")
 
 
 @query
 def idf_word(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
-    return _round(_vocab(docs, _terms(docs, word=(1, 1))).select("term", "idf"))
+    docs = _corpus(spark, d)
+    return _round(_vocab(docs, _counts(X.document_terms(docs, {"word": (1, 2)}, "TEXT"))).select("term", "idf"))
 
 
 @query
 def tfidf_word(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
-    terms = _terms(docs, word=(1, 1))
-    return _round(X.tfidf(terms, _vocab(docs, terms)).drop("branch"), 4)
+    docs = _corpus(spark, d)
+    terms = _terms(docs, word=(1, 2))
+    counts = _counts(terms)
+    return _round(X.tfidf(terms, _vocab(docs, counts), counts).drop("branch"), 4)
 
 
 def _digest(weights: DataFrame) -> DataFrame:
@@ -456,27 +474,35 @@ def _digest(weights: DataFrame) -> DataFrame:
     )
 
 
+@query
+def tfidf_word_stage2(spark, d):
+    docs = _corpus(spark, d)
+    terms = _terms(docs, word=(1, 3))
+    counts = _counts(terms)
+    return _round(_digest(X.tfidf(terms, _vocab(docs, counts), counts)), 4)
+
+
 @query
 def tfidf_char(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
+    docs = _corpus(spark, d)
     terms = _terms(docs, char=(3, 5))
-    return _round(_digest(X.tfidf(terms, _vocab(docs, terms))), 4)
+    counts = _counts(terms)
+    return _round(_digest(X.tfidf(terms, _vocab(docs, counts), counts)), 4)
 
 
 @query
 def tfidf_transform(spark, d):
     train, test = V.train(spark, d), V.test(spark, d)
-    vocab = _vocab(train, _terms(train, word=(1, 2)))
+    vocab = _vocab(train, _counts(X.document_terms(train, {"word": (1, 2)}, "TEXT")))
     return _round(X.tfidf(_terms(test, word=(1, 2)), vocab).drop("branch"), 4)
 
 
-@query
-def feature_union(spark, d):
-    docs = _based(spark, d)
-    config = X.STAGE1
-    terms = X.stage_terms(docs, config, "base_text")
-    vocab = materialize(X.stage_vocabulary(terms, _n(docs), config))
-    features = X.feature_union(docs, vocab, X.surface_scale(docs), config, "base_text")
+def _stage_features(docs: DataFrame, config: X.StageConfig, text_col: str) -> DataFrame:
+    """Per document and branch: what depends on every feature of a stage."""
+    terms = materialize(X.stage_terms(docs, config, text_col))
+    counts = _counts(terms)
+    vocab = materialize(X.stage_vocabulary(counts, _n(docs), config))
+    features = X.feature_union(docs, terms, counts, vocab, X.surface_scale(docs), config)
     digest = features.groupBy("row_idx", "branch").agg(
         F.count("*").alias("terms"), F.sum("weight").alias("weight_sum"),
         F.max("weight").alias("weight_max"),
@@ -484,15 +510,23 @@ def feature_union(spark, d):
     return _round(digest, 4)
 
 
+@query
+def feature_union(spark, d):
+    return _stage_features(C.prepare(V.decor(spark, d)), X.STAGE1, "clean_text")
+
+
+@query
+def feature_union_stage2(spark, d):
+    return _stage_features(C.prepare(V.decor(spark, d)), X.STAGE2, "negation_text")
+
+
 @query
 def linear_score(spark, d):
-    docs = V.documents(spark, d).select("row_idx", "TEXT")
+    docs = _corpus(spark, d)
     terms = _terms(docs, word=(1, 2))
-    vocab = _vocab(docs, terms)
-    weights = vocab.select(
-        "branch", "term", "df", (F.length("term") % 5 - 2).cast("double").alias("w")
-    )
-    return _round(X.linear_score(X.tfidf(terms, vocab), weights, docs, 0.25), 4)
+    counts = _counts(terms)
+    model = _vocab(docs, counts).withColumn("weight", (F.length("term") % 5 - 2).cast("double"))
+    return _round(X.linear_score(terms, model, docs, 0.25, ("word",), counts), 4)
 
 
 # --- evaluation ---------------------------------------------------------------
@@ -527,7 +561,7 @@ def overall_metrics(spark, d):
 @query
 def stage1_fit(spark, d):
     docs = C.prepare(V.train(spark, d))
-    model = C.fit_stage(docs, F.col("LABEL") != 0, X.STAGE1, DRIVER_ITERATIONS)
+    model = C.fit_stage(docs, F.col("LABEL") != 0, X.STAGE1)
     return model.terms.groupBy("branch").agg(
         F.count("*").alias("terms"), F.count_if(F.col("weight") != 0).alias("weighted_terms")
     )
@@ -535,7 +569,7 @@ def stage1_fit(spark, d):
 
 @query
 def two_stage_fit(spark, d):
-    model = C.fit(C.prepare(V.train(spark, d)), max_iter=DRIVER_ITERATIONS)
+    model = C.fit(C.prepare(V.train(spark, d)))
     return _union(
         [s.terms.groupBy("branch").count().withColumn("task", F.lit(s.config.task))
          for s in (model.stage1, model.stage2)]
@@ -544,19 +578,19 @@ def two_stage_fit(spark, d):
 
 @query
 def two_stage_predict(spark, d):
-    model = C.fit(C.prepare(V.train(spark, d)), max_iter=DRIVER_ITERATIONS)
+    model = C.fit(C.prepare(V.train(spark, d)))
     return C.predict(C.prepare(V.test(spark, d)), model)
 
 
 @query
 def holdout_eval(spark, d):
     clean = D.clean_train(V.train(spark, d), V.test(spark, d))
-    return E.overall_metrics(W.holdout_predictions(clean, max_iter=DRIVER_ITERATIONS))
+    return E.overall_metrics(W.holdout_predictions(clean))
 
 
 @query
 def submission(spark, d):
     train, test = V.train(spark, d), V.test(spark, d)
-    model = C.fit(C.prepare(D.clean_train(train, test)), max_iter=DRIVER_ITERATIONS)
+    model = C.fit(C.prepare(D.clean_train(train, test)))
     return W.predict_submission(test, model)
 

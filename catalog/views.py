@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.session import spread_scan
-
 LABEL_RULE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 0 THEN 1 ELSE 2 END"
 
 SUFFIXES = [
@@ -26,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("ID"),
         F.col("doc_id").alias("row_idx"),
         F.col("text").alias("TEXT"),

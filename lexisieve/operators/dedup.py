@@ -1,8 +1,9 @@
 """Duplicate texts: statistics, conflicts, overlap, keep-first, expansion.
 
 Everything works on narrow tables ``(key, order, label)`` whose key is a 32-byte
-digest. Texts are read again only to emit surviving rows, which are found by
-their unique order column, so a hot text never gathers its rows in one task.
+digest and which are written once. Texts are read again only to emit surviving rows:
+the rows to drop, far fewer than those that stay, are listed by their unique order
+column, so a hot text never gathers its rows in one task.
 """
 
 from __future__ import annotations
@@ -94,45 +95,65 @@ def conflict_examples(conflicts: DataFrame, limit: int = 5) -> DataFrame:
     return conflicts.orderBy("first_idx").limit(limit)
 
 
-def keep_rows(df: DataFrame, indices: DataFrame, order_col: str = "row_idx") -> DataFrame:
-    """Rows of ``df`` whose order value is listed; order values are unique, so even."""
-    return df.join(indices, order_col, "left_semi")
+def narrow_keys(df: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx") -> DataFrame:
+    """``(order, key)`` of every row, written once."""
+    return materialize(keyed(df.select(order_col, text_col), text_col))
+
+
+def later_rows(
+    keys: DataFrame, order_col: str = "row_idx", test_keys: DataFrame | None = None
+) -> DataFrame:
+    """Order values of rows that are not the first of their key, or whose key is in ``test_keys``."""
+    groups = key_groups(keys, order_col).withColumn("_shared", F.lit(False))
+    if test_keys is not None:
+        known = test_keys.select(KEY).distinct().withColumn("_known", F.lit(True))
+        groups = groups.join(known, KEY, "left").withColumn("_shared", F.col("_known").isNotNull()).drop("_known")
+    groups = groups.withColumn("_listed", F.col("_shared") | (F.col("n") > 1))
+    rows = join_by_weight(keys, materialize(groups), [KEY], "n", F.col(order_col), keep="_listed")
+    return materialize(
+        rows.filter(F.col("_shared") | (F.col(order_col) != F.col("first_idx"))).select(order_col)
+    )
 
 
 def keep_first(
-    df: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx"
+    df: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx", keys: DataFrame | None = None
 ) -> DataFrame:
-    """First row in source order of every distinct text key."""
-    groups = key_groups(keyed(df.select(order_col, text_col), text_col), order_col)
-    return keep_rows(df, groups.select(F.col("first_idx").alias(order_col)), order_col)
+    """First row in source order of every distinct text key; ``keys`` from `narrow_keys` saves a pass."""
+    keys = narrow_keys(df, text_col, order_col) if keys is None else keys
+    return df.join(later_rows(keys, order_col), order_col, "left_anti")
 
 
 def without_overlap(
     train: DataFrame, test: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx"
 ) -> DataFrame:
     """Train rows whose key does not occur in test."""
-    train_keys = materialize(keyed(train.select(order_col, text_col), text_col))
-    test_keys = keyed(test.select(text_col), text_col).distinct()
-    # drop by row, not by key: the rows to drop are listed from narrow tables
-    groups = key_groups(train_keys, order_col).join(test_keys, KEY, "left_semi")
-    dropped = join_by_weight(
-        train_keys, groups.select(KEY, "n"), [KEY], "n", F.col(order_col)
-    ).select(order_col)
-    return train.join(dropped, order_col, "left_anti")
+    train_keys = narrow_keys(train, text_col, order_col)
+    known = keyed(test.select(text_col), text_col).distinct().withColumn("_shared", F.lit(True))
+    groups = materialize(
+        key_groups(train_keys, order_col)
+        .join(known, KEY, "left")
+        .select(KEY, "n", F.coalesce("_shared", F.lit(False)).alias("_shared"))
+    )
+    dropped = join_by_weight(train_keys, groups, [KEY], "n", F.col(order_col), keep="_shared")
+    return train.join(materialize(dropped.select(order_col)), order_col, "left_anti")
 
 
 def clean_train(
-    train: DataFrame, test: DataFrame, text_col: str = "TEXT", order_col: str = "row_idx"
+    train: DataFrame,
+    test: DataFrame,
+    text_col: str = "TEXT",
+    order_col: str = "row_idx",
+    train_keys: DataFrame | None = None,
+    test_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Train without test overlap, first row of every key.
 
-    A key is either wholly in the overlap or not at all, so the anti join runs on
-    one row per key and the texts are joined once, by row.
+    A key is either wholly in the overlap or not at all, so both are decided on one row
+    per key.
     """
-    groups = key_groups(keyed(train.select(order_col, text_col), text_col), order_col)
-    test_keys = keyed(test.select(text_col), text_col).distinct()
-    kept = groups.join(test_keys, KEY, "left_anti")
-    return keep_rows(train, kept.select(F.col("first_idx").alias(order_col)), order_col)
+    train_keys = narrow_keys(train, text_col, order_col) if train_keys is None else train_keys
+    test_keys = keyed(test.select(text_col), text_col) if test_keys is None else test_keys
+    return train.join(later_rows(train_keys, order_col, test_keys), order_col, "left_anti")
 
 
 def overlap_stats(train_groups: DataFrame, test_groups: DataFrame) -> DataFrame:
@@ -211,7 +232,7 @@ def expand_by_key(
     A key whose first row has no value yields null. Popular keys are split.
     """
     keys = materialize(keyed(rows, text_col))
-    valued = (
+    valued = materialize(
         key_groups(keys, order_col)
         .withColumnRenamed("first_idx", order_col)
         .join(unique_values, order_col, "left")

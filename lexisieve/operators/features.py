@@ -88,40 +88,52 @@ def document_frequency(terms: DataFrame) -> DataFrame:
 
 
 def vocabulary(
-    terms: DataFrame, n_docs: Column, min_df: dict[str, int], max_df: dict[str, float]
+    counts: DataFrame, n_docs: Column, min_df: dict[str, int], max_df: dict[str, float]
 ) -> DataFrame:
     """``(branch, term, df, idf)`` of the terms within the frequency limits.
 
-    ``min_df`` is in documents, ``max_df`` a share of them; a branch without an
-    entry has no limit. IDF is smoothed: ``ln((1 + n) / (1 + df)) + 1``.
+    ``counts`` is a `document_frequency`; ``min_df`` is in documents, ``max_df`` a share
+    of them; a branch without an entry has no limit. IDF is smoothed:
+    ``ln((1 + n) / (1 + df)) + 1``.
     """
     kept = F.lit(True)
     for branch, low in min_df.items():
         kept = kept & ((F.col("branch") != branch) | (F.col("df") >= low))
     for branch, share in max_df.items():
         kept = kept & ((F.col("branch") != branch) | (F.col("df") <= n_docs * F.lit(share)))
-    return (
-        document_frequency(terms)
-        .filter(kept)
-        .withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1)
-    )
+    return counts.filter(kept).withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1)
 
 
-def weigh(terms: DataFrame, vocab: DataFrame, doc_col: str = "row_idx") -> DataFrame:
+def weigh(
+    terms: DataFrame, vocab: DataFrame, counts: DataFrame | None = None, doc_col: str = "row_idx"
+) -> DataFrame:
     """``x = (1 + ln tf) * idf`` for known terms; unknown ones drop out.
 
-    Frequent terms hold a large part of all rows; their rows are split.
+    Frequent terms hold a large part of all rows; their rows are split. What is frequent is
+    counted in ``terms`` themselves (``counts``, their `document_frequency`), not in the
+    documents the vocabulary was fitted on, and rows of frequent terms that the vocabulary
+    lacks are dropped before the shuffle.
     """
-    return join_by_weight(terms, vocab, ["branch", "term"], "df", F.col(doc_col)).withColumn(
-        "x", (F.log("tf") + 1) * F.col("idf")
+    counts = document_frequency(terms) if counts is None else counts
+    known = vocab.drop("df").withColumn("_known", F.lit(True))
+    dim = (
+        counts.withColumnRenamed("df", "_rows")
+        .join(known, ["branch", "term"], "left")
+        .withColumn("_known", F.col("_known").isNotNull())
     )
+    joined = join_by_weight(
+        terms, dim, ["branch", "term"], "_rows", F.col(doc_col), keep="_known"
+    ).drop("_rows")
+    return joined.withColumn("x", (F.log("tf") + 1) * F.col("idf"))
 
 
-def tfidf(terms: DataFrame, vocab: DataFrame, doc_col: str = "row_idx") -> DataFrame:
+def tfidf(
+    terms: DataFrame, vocab: DataFrame, counts: DataFrame | None = None, doc_col: str = "row_idx"
+) -> DataFrame:
     """``(doc, branch, term, weight)`` with unit length per document and branch."""
     whole = Window.partitionBy(doc_col, "branch")
     return (
-        weigh(terms, vocab, doc_col)
+        weigh(terms, vocab, counts, doc_col)
         .withColumn("weight", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(whole)))
         .select(doc_col, "branch", "term", "weight")
     )
@@ -133,9 +145,9 @@ def stage_terms(
     return document_terms(docs, {WORD: config.word, CHAR: config.char}, text_col, doc_col)
 
 
-def stage_vocabulary(terms: DataFrame, n_docs: Column, config: StageConfig) -> DataFrame:
+def stage_vocabulary(counts: DataFrame, n_docs: Column, config: StageConfig) -> DataFrame:
     return vocabulary(
-        terms,
+        counts,
         n_docs,
         min_df={WORD: config.word_min_df, CHAR: config.char_min_df},
         max_df={WORD: config.word_max_df},
@@ -162,18 +174,20 @@ def scaled_surface(
 
 def feature_union(
     docs: DataFrame,
+    terms: DataFrame,
+    counts: DataFrame,
     vocab: DataFrame,
     scale: DataFrame,
     config: StageConfig,
-    text_col: str = "clean_text",
     base_col: str = "base_text",
     doc_col: str = "row_idx",
 ) -> DataFrame:
     """All non-zero features of a stage as ``(doc, branch, term, weight)``.
 
-    Surface features carry the stage's weight and are left out if that is 0.
+    ``terms`` are the documents' `stage_terms` and ``counts`` their frequencies. Surface
+    features carry the stage's weight and are left out if that is 0.
     """
-    text = tfidf(stage_terms(docs, config, text_col, doc_col), vocab, doc_col)
+    text = tfidf(terms, vocab, counts, doc_col)
     if config.surface <= 0:
         return text
     surface = (
@@ -190,25 +204,50 @@ def feature_union(
     return text.unionByName(surface)
 
 
+def branch_scores(
+    terms: DataFrame,
+    model: DataFrame,
+    branches: tuple[str, ...] = (WORD, CHAR),
+    counts: DataFrame | None = None,
+    doc_col: str = "row_idx",
+) -> DataFrame:
+    """``(doc, score)``: the dot product with ``model(branch, term, idf, weight)`` of each branch
+    over the branch's length, summed.
+
+    Dot products and squared lengths come from one join and one aggregation, so no weight is
+    shuffled back to its document to be normalised.
+    """
+    w = F.col("weight")
+    sums = weigh(terms, model, counts, doc_col).groupBy(doc_col).agg(
+        *[
+            F.sum(F.when(F.col("branch") == branch, value)).alias(f"{name}_{branch}")
+            for branch in branches
+            for name, value in (("dot", F.col("x") * w), ("square", F.col("x") * F.col("x")))
+        ]
+    )
+    score = F.lit(0.0)
+    for branch in branches:
+        part = F.try_divide(F.col(f"dot_{branch}"), F.sqrt(f"square_{branch}"))
+        score = score + F.coalesce(part, F.lit(0.0))
+    return sums.select(doc_col, score.alias("score"))
+
+
 def linear_score(
-    features: DataFrame,
-    weights: DataFrame,
+    terms: DataFrame,
+    model: DataFrame,
     docs: DataFrame,
     intercept: float = 0.0,
+    branches: tuple[str, ...] = (WORD, CHAR),
+    counts: DataFrame | None = None,
     doc_col: str = "row_idx",
 ) -> DataFrame:
-    """``sum(w * x) + intercept`` per document of ``docs``.
+    """``sum(w * x) + intercept`` per document of ``docs`` over unit-length TF-IDF branches.
 
-    ``weights`` is ``(branch, term, df, w)``. Documents without a known term get
-    the intercept alone.
+    Documents without a known term get the intercept alone.
     """
-    sums = (
-        join_by_weight(features, weights, ["branch", "term"], "df", F.col(doc_col))
-        .groupBy(doc_col)
-        .agg(F.sum(F.col("weight") * F.col("w")).alias("_sum"))
-    )
+    scores = branch_scores(terms, model, branches, counts, doc_col)
     return (
         docs.select(doc_col)
-        .join(sums, doc_col, "left")
-        .select(doc_col, (F.coalesce("_sum", F.lit(0.0)) + F.lit(intercept)).alias("margin"))
+        .join(scores, doc_col, "left")
+        .select(doc_col, (F.coalesce("score", F.lit(0.0)) + F.lit(intercept)).alias("margin"))
     )

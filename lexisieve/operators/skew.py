@@ -16,20 +16,27 @@ def join_by_weight(
     weight: str,
     spread: Column,
     how: str = "inner",
+    keep: str | None = None,
 ) -> DataFrame:
     """Join many ``facts`` rows to one ``dim`` row per key, hot keys split.
 
-    ``dim[weight]`` says how many fact rows a key has. Keys that hold at least
-    1/1000 of all rows, and there are at most 1000 of those, are copied once per
-    slice of their rows, and their fact rows spread over the copies by
-    ``spread``. No task then gets more than about 1/1000 of the rows from one key.
-    The list of hot keys is therefore safe to broadcast; for the join itself
-    Spark chooses the strategy from the sizes it sees.
+    ``dim`` lists every key of ``facts``, and ``dim[weight]`` says how many fact rows the
+    key has. Keys that hold at least 1/1000 of all rows, and there are at most 1000 of
+    those, are copied once per slice of their rows, and their fact rows spread over the
+    copies by ``spread``. No task then gets more than about 1/1000 of the rows from one
+    key. The list of hot keys is therefore safe to broadcast; for the join itself Spark
+    chooses the strategy from the sizes it sees.
+
+    ``keep`` names a boolean column of ``dim``: keys without it do not join (inner joins
+    only), and the rows of hot ones are dropped before the shuffle.
     """
     total = dim.agg(F.sum(weight)).scalar()
     copies = F.ceil(F.col(weight) * SLICES / total).cast("int")
-    hot = dim.filter(F.col(weight) * SLICES >= total).select(*keys, copies.alias("_copies"))
-    sliced_dim = dim.withColumn(
+    kept = F.col(keep) if keep else F.lit(True)
+    hot = dim.filter(F.col(weight) * SLICES >= total).select(
+        *keys, copies.alias("_copies"), kept.alias("_kept")
+    )
+    sliced_dim = dim.filter(kept).withColumn(
         "_slice",
         F.explode(
             F.when(
@@ -37,11 +44,16 @@ def join_by_weight(
             ).otherwise(F.array(F.lit(0)))
         ),
     )
-    sliced_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slice", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"), F.lit(0))
+    sliced_facts = (
+        facts.join(F.broadcast(hot), keys, "left")
+        .filter(F.coalesce("_kept", F.lit(True)))
+        .withColumn(
+            "_slice",
+            F.coalesce(F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"), F.lit(0)),
+        )
     )
     joined = sliced_facts.join(sliced_dim, [*keys, "_slice"], how)
-    return joined.drop("_slice", "_copies")
+    return joined.drop("_slice", "_copies", "_kept", *([keep] if keep else []))
 
 
 def with_dense_index(df: DataFrame, keys: list[str], out: str, buckets: int = 4096) -> DataFrame:

@@ -55,13 +55,3 @@ def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
-
-
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """More partitions for a plain scan that has fewer than there are cores.
-
-    Text work is heavy per row, and a table of few files gives few tasks. A large
-    table has enough splits of its own and is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -84,10 +84,12 @@ def test_scoring_matches_training_space(spark, root):
     target = F.col("LABEL") != 0
     model = C.fit_stage(docs, target, C.STAGE1, max_iter=10)
     n = docs.agg(F.count("*")).scalar()
-    known = C.stage_vocabulary(C.stage_terms(docs, C.STAGE1), n, C.STAGE1)
+    terms = C.stage_terms(docs, C.STAGE1)
+    counts = C.document_frequency(terms)
+    known = C.stage_vocabulary(counts, n, C.STAGE1)
     vocab = C.with_dense_index(known, ["branch", "term"], "idx").withColumn("idx", F.col("idx") + 9)
     scale = {k: v[0] for k, v in model.surface.items()}
-    rows = C.training_rows(docs, target, C.STAGE1, vocab, scale)
+    rows = C.training_rows(docs, terms, counts, target, C.STAGE1, vocab, scale)
     weights = {r.idx: r.weight for r in vocab.join(model.terms, ["branch", "term"]).select("idx", "weight").collect()}
     weights |= {i: w / C.STAGE1.surface for i, (_, w) in enumerate(model.surface.values())}
     want = {
@@ -97,14 +99,41 @@ def test_scoring_matches_training_space(spark, root):
     assert got == pytest.approx(want)
 
 
-def test_weights_as_a_table(spark, root):
-    """Without room for a dense vector the fit still separates the classes."""
+def test_fit_does_not_depend_on_partitions_and_is_a_minimum(spark, root):
     folder, _, _ = root
     docs = C.prepare(read_inputs(spark, str(folder))[0])
-    model = C.fit_stage(docs, F.col("LABEL") != 0, C.STAGE1, max_iter=6, max_dense=0)
-    judged = C.stage_margin(docs, model).join(docs.select("row_idx", "LABEL"), "row_idx")
-    right = judged.filter((F.col("margin") > 0) == (F.col("LABEL") != 0)).count()
-    assert right >= 0.95 * docs.count()
+    target = F.col("LABEL") != 0
+    one, other = (C.fit_stage(docs.repartition(n, "ID"), target, C.STAGE1) for n in (1, 5))
+    assert one.converged and other.converged
+    margins = [
+        {r.row_idx: r.margin for r in C.stage_margin(docs, m).collect()} for m in (one, other)
+    ]
+    assert margins[0] == pytest.approx(margins[1], abs=1e-2)
+    truth = {r.row_idx: 1 if r.LABEL else -1 for r in docs.collect()}
+    squares = one.terms.agg(F.sum(F.col("weight") ** 2)).first()[0]
+
+    def objective(scale):
+        # weights and intercept scaled together scale the margins
+        hinge = sum(max(0.0, 1 - truth[i] * scale * m) for i, m in margins[0].items()) / len(truth)
+        return hinge + C.STAGE1.alpha / 2 * scale * scale * squares
+
+    assert objective(1.0) <= min(objective(0.8), objective(1.25)) + 1e-4
+
+
+def test_bounded_fit(spark, root):
+    folder, _, _ = root
+    docs = C.prepare(read_inputs(spark, str(folder))[0])
+    model = C.fit(docs, max_iter=5, max_labelled_rows=45)
+    judged = C.predict(docs, model).join(docs.select("row_idx", "LABEL"), "row_idx")
+    assert judged.filter("pred = LABEL").count() >= 0.6 * docs.count()
+
+
+def test_too_many_features(spark, root, monkeypatch):
+    folder, _, _ = root
+    docs = C.prepare(read_inputs(spark, str(folder))[0])
+    monkeypatch.setattr(C, "MAX_FEATURES", 10)
+    with pytest.raises(ContractError, match="max_labelled_rows"):
+        C.fit_stage(docs, F.col("LABEL") != 0, C.STAGE1)
 
 
 def test_fit_needs_all_labels(spark, root):
