@@ -86,14 +86,20 @@ ORACLE["label_names"] = _on_labels(
         ELSE {_MEANING.format(x='num')} END AS label_meaning FROM numbers"""
 )
 
+
+
+def _alignment(pair: str, left: str, right: str) -> str:
+    missing = "(SELECT count(*) FROM (SELECT ID FROM {} EXCEPT SELECT ID FROM {}))"
+    return f"""SELECT '{pair}' AS pair, count(*) FILTER (l.ID IS DISTINCT FROM r.ID) AS misplaced_rows,
+        {missing.format(left, right)} AS only_left, {missing.format(right, left)} AS only_right,
+        {missing.format(left, right)} + {missing.format(right, left)} = 0 AS same_set,
+        count(*) FILTER (l.ID IS DISTINCT FROM r.ID) = 0 AS same_order
+        FROM {left} l FULL JOIN {right} r USING (row_idx)"""
+
+
 ORACLE["id_alignment"] = with_views(
-    """SELECT 'sample/test' AS pair, 0 AS misplaced_rows, 0 AS only_left, 0 AS only_right,
-        true AS same_set, true AS same_order
-    UNION ALL
-    SELECT 'documents/train', (SELECT count(*) FROM v_test),
-        (SELECT count(*) FROM (SELECT ID FROM v_doc EXCEPT SELECT ID FROM v_train)),
-        (SELECT count(*) FROM (SELECT ID FROM v_train EXCEPT SELECT ID FROM v_doc)), false, false""",
-    "v_doc", "v_train", "v_test",
+    _alignment("sample/test", "v_sample", "v_test") + " UNION ALL " + _alignment("documents/train", "v_doc", "v_train"),
+    "v_doc", "v_train", "v_test", v_sample="SELECT ID, row_idx FROM v_test",
 )
 
 ORACLE["label_conflicts"] = with_views(
@@ -104,14 +110,23 @@ ORACLE["label_conflicts"] = with_views(
     "v_conflict",
 )
 
+
+
+def _submission(which: str, view: str) -> str:
+    return f"""SELECT '{which}' AS which, true AS "columns_exactly_ID_LABEL",
+        count(s.row_idx) = count(t.row_idx) AS row_count_matches_test,
+        count(*) FILTER (s.row_idx IS NULL OR t.row_idx IS NULL OR s.ID IS DISTINCT FROM t.ID) = 0 AS id_order_matches_test,
+        count(*) FILTER (s.row_idx IS NOT NULL AND coalesce(s.LABEL NOT IN ('0', '1', '2'), true)) = 0 AS labels_are_allowed_integers,
+        count(*) FILTER (s.row_idx IS NOT NULL AND s.LABEL IS NULL) = 0 AS no_missing_predictions
+        FROM {view} s FULL JOIN v_test t ON s.row_idx = t.row_idx"""
+
+
 ORACLE["validate_submission"] = with_views(
-    """SELECT 'good' AS which, true AS "columns_exactly_ID_LABEL", true AS row_count_matches_test,
-        true AS id_order_matches_test, true AS labels_are_allowed_integers, true AS no_missing_predictions
-    UNION ALL
-    SELECT 'bad', true, count(*) = count(*) FILTER (row_idx % 5 > 0), count(*) FILTER (row_idx % 5 = 0) = 0,
-        count(*) FILTER (row_idx % 5 > 0 AND (row_idx % 97 = 5 OR row_idx % 4 = 3)) = 0,
-        count(*) FILTER (row_idx % 5 > 0 AND row_idx % 97 = 5) = 0 FROM v_test""",
+    _submission("good", "good") + " UNION ALL " + _submission("bad", "bad"),
     "v_test",
+    good="SELECT row_idx, ID, CAST(row_idx % 3 AS VARCHAR) AS LABEL FROM v_test",
+    bad="""SELECT row_idx, ID, CASE WHEN row_idx % 97 <> 5 THEN CAST(row_idx % 4 AS VARCHAR) END AS LABEL
+        FROM v_test WHERE row_idx % 5 > 0""",
 )
 
 # --- duplicates -----------------------------------------------------------------
@@ -192,7 +207,7 @@ ORACLE["label_counts"] = _on_keys(
     meanings=_MEANINGS,
 )
 ORACLE["label_distribution"] = _on_labels(
-    f"""SELECT CASE WHEN v IS NULL THEN 'missing_or_unparseable' WHEN isinf(v) THEN 'Infinity'
+    f"""SELECT CASE WHEN v IS NULL THEN 'missing_or_unparseable' WHEN isinf(v) THEN 'inf'
             WHEN v = round(v) THEN CAST(CAST(v AS BIGINT) AS VARCHAR) ELSE CAST(v AS VARCHAR) END AS LABEL,
         CASE WHEN v IS NULL THEN 'missing or unparseable label' ELSE {_MEANING.format(x='v')} END AS meaning,
         "count", round(100.0 * "count" / (SELECT count(*) FROM v_doc), 6) AS proportion_pct
@@ -202,7 +217,14 @@ ORACLE["label_integrity"] = _on_labels(
     """SELECT count(*) FILTER (num IN (0, 1, 2)) AS valid_label_rows,
         count(*) FILTER (num IS NULL OR isnan(num)) AS missing_or_unparseable_rows,
         count(*) FILTER (NOT isnan(num) AND num NOT IN (0, 1, 2)) AS unexpected_label_rows,
-        '1.5, 7.0, Infinity' AS unexpected_label_values, false AS all_training_labels_valid FROM numbers"""
+        count(DISTINCT num) FILTER (NOT isnan(num) AND num NOT IN (0, 1, 2)) AS unexpected_label_count,
+        count(*) FILTER (num IN (0, 1, 2)) = count(*) AS all_training_labels_valid FROM numbers"""
+)
+ORACLE["unexpected_labels"] = _on_labels(
+    "SELECT num AS value, count(*) AS rows FROM numbers WHERE NOT isnan(num) AND num NOT IN (0, 1, 2) GROUP BY 1"
+)
+ORACLE["csv_round_trip"] = with_views(
+    """SELECT ID, CASE WHEN row_idx % 13 <> 3 THEN nullif(TEXT, '') END AS TEXT, row_idx FROM v_decor""", "v_decor"
 )
 ORACLE["stratified_split"] = with_views(
     """SELECT ID, row_idx, LABEL::BIGINT AS LABEL, place <= quota AS is_valid FROM (
@@ -250,24 +272,35 @@ ORACLE["missing_report"] = with_views(
 )
 
 
+# a template that lacks some test rows and has another ID in some
+SOME_SAMPLE = """SELECT CASE WHEN row_idx % 10 = 3 THEN concat('x', ID) ELSE ID END AS ID, row_idx FROM v_test
+    WHERE row_idx % 7 > 0"""
+
+
 def _ids(split: str, view: str) -> str:
-    return f"""SELECT '{split}_row_count' AS "check", count(*)::VARCHAR AS value, 'number of rows' AS details FROM {view}
-    UNION ALL SELECT '{split}_unique_id_count', count(DISTINCT ID)::VARCHAR, 'unique IDs including missing' FROM {view}
-    UNION ALL SELECT '{split}_missing_id_count', (count(*) - count(ID))::VARCHAR, 'missing ID values' FROM {view}
+    return f"""SELECT '{split}_row_count' AS "check", count(*)::VARCHAR AS value, 'rows in the table' AS details FROM {view}
+    UNION ALL SELECT '{split}_unique_id_count', count(DISTINCT ID)::VARCHAR, 'different IDs; a missing one counts once' FROM {view}
+    UNION ALL SELECT '{split}_missing_id_count', (count(*) - count(ID))::VARCHAR, 'rows without an ID' FROM {view}
     UNION ALL SELECT '{split}_duplicate_id_rows', (SELECT count(*) FROM {view} WHERE ID IN
-        (SELECT ID FROM {view} GROUP BY ID HAVING count(*) > 1))::VARCHAR, 'rows with duplicated IDs'"""
+        (SELECT ID FROM {view} GROUP BY ID HAVING count(*) > 1))::VARCHAR, 'rows whose ID occurs more than once'"""
 
 
 ORACLE["id_report"] = with_views(
     f"""{_ids('train', 'v_train')} UNION ALL {_ids('test', 'v_test')}
-    UNION ALL {_ids('sample_submission', 'v_test')}
-    UNION ALL SELECT 'train_test_id_overlap_count', count(*)::VARCHAR, 'shared IDs between train and test'
+    UNION ALL {_ids('sample_submission', 'v_some')}
+    UNION ALL SELECT 'train_test_id_overlap_count', count(*)::VARCHAR, 'IDs that both train and test have'
         FROM (SELECT ID FROM v_train INTERSECT SELECT ID FROM v_test)
-    UNION ALL SELECT 'sample_submission_row_count_matches_test', 'true',
-        concat('sample rows=', count(*), ', test rows=', count(*)) FROM v_test
-    UNION ALL SELECT 'sample_submission_id_set_matches_test', 'true', 'ID set equality, ignoring order'
-    UNION ALL SELECT 'sample_submission_id_order_matches_test', 'true', 'exact ID order equality'""",
-    "v_train", "v_test",
+    UNION ALL SELECT 'sample_submission_row_count_matches_test',
+        ((SELECT count(*) FROM v_some) = (SELECT count(*) FROM v_test))::VARCHAR,
+        concat('template: ', (SELECT count(*) FROM v_some), ', test: ', (SELECT count(*) FROM v_test))
+    UNION ALL SELECT 'sample_submission_id_set_matches_test',
+        (NOT EXISTS (SELECT ID FROM v_some EXCEPT SELECT ID FROM v_test)
+            AND NOT EXISTS (SELECT ID FROM v_test EXCEPT SELECT ID FROM v_some))::VARCHAR,
+        'both tables hold the same IDs in any order'
+    UNION ALL SELECT 'sample_submission_id_order_matches_test',
+        (count(*) FILTER (s.ID IS DISTINCT FROM t.ID) = 0)::VARCHAR, 'every row has the same ID in both tables'
+        FROM v_some s FULL JOIN v_test t USING (row_idx)""",
+    "v_train", "v_test", v_some=SOME_SAMPLE,
 )
 
 

@@ -6,6 +6,7 @@ that an independent SQL engine can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,8 @@ from lexisieve.operators import split as S
 from lexisieve.plans import classifier as C
 from lexisieve.plans import report as R
 from lexisieve.plans import workflow as W
-from lexisieve.session import materialize
+from lexisieve.session import materialize, work_dir
+from lexisieve.sources.csv import read_csv
 
 QUERIES = {}
 
@@ -57,6 +59,20 @@ def scan_corpus(spark: SparkSession, d: str) -> DataFrame:
     return V.documents(spark, d)
 
 
+@query
+def csv_round_trip(spark, d):
+    """Documents written as CSV, with cells that mean a missing value, and read back."""
+    i = F.col("row_idx")
+    rows = V.decor(spark, d).select(
+        "ID", F.when(i % 13 == 3, "n/a").otherwise(F.col("TEXT")).alias("TEXT"), i.alias("place")
+    )
+    path = f"{work_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv(spark, path).select("ID", "TEXT", F.col("place").cast("bigint").alias("row_idx"))
+
+
 def _some_labels(spark, d) -> DataFrame:
     """Documents with label texts of every kind a reader may meet."""
     i = F.col("row_idx")
@@ -212,6 +228,11 @@ def label_integrity(spark, d):
     return L.label_integrity(_some_labels(spark, d))
 
 
+@query
+def unexpected_labels(spark, d):
+    return L.unexpected_labels(_some_labels(spark, d))
+
+
 @query
 def stratified_split(spark, d):
     return _round(S.with_holdout(V.train(spark, d).select("ID", "row_idx", "LABEL")))
@@ -247,7 +268,11 @@ def missing_report(spark, d):
 
 @query
 def id_report(spark, d):
-    return R.id_report(V.train(spark, d), V.test(spark, d), V.sample(spark, d))
+    i = F.col("row_idx")
+    some = V.sample(spark, d).filter(i % 7 > 0).withColumn(
+        "ID", F.when(i % 10 == 3, F.concat(F.lit("x"), "ID")).otherwise(F.col("ID"))
+    )
+    return R.id_report(V.train(spark, d), V.test(spark, d), some)
 
 
 @query

@@ -174,16 +174,21 @@ def cleaning_summary(
     text_col: str = "TEXT",
     label_col: str = "LABEL",
     order_col: str = "row_idx",
+    train_keys: DataFrame | None = None,
+    test_keys: DataFrame | None = None,
 ) -> DataFrame:
     """All clean-up counts in one row.
 
     Each table is scanned once and aggregated by key; both sides are then
-    partitioned by key, so their full outer join needs no further shuffle.
+    partitioned by key, so their full outer join needs no further shuffle. Tables of
+    keys that are there already (`keyed`) are not made again.
     """
-    train_groups = key_groups(
-        keyed(train.select(order_col, label_col, text_col), text_col), order_col, label_col
-    )
-    test_groups = key_groups(keyed(test.select(order_col, text_col), text_col), order_col)
+    if train_keys is None:
+        train_keys = keyed(train.select(order_col, label_col, text_col), text_col)
+    if test_keys is None:
+        test_keys = keyed(test.select(order_col, text_col), text_col)
+    train_groups = key_groups(train_keys, order_col, label_col)
+    test_groups = key_groups(test_keys, order_col)
     both = train_groups.join(
         test_groups.select(KEY, F.col("n").alias("test_n")), KEY, "full_outer"
     )
@@ -225,13 +230,14 @@ def expand_by_key(
     value_col: str,
     text_col: str = "TEXT",
     order_col: str = "row_idx",
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Give every row the value of its key's first row.
 
     ``unique_values`` is ``(order_col, value_col)`` for the rows `keep_first` returns.
     A key whose first row has no value yields null. Popular keys are split.
     """
-    keys = materialize(keyed(rows, text_col))
+    keys = materialize(keyed(rows, text_col)) if keys is None else keys
     valued = materialize(
         key_groups(keys, order_col)
         .withColumnRenamed("first_idx", order_col)

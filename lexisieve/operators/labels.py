@@ -43,6 +43,17 @@ def label_name(number: Column) -> Column:
     return name.otherwise(F.lit("unexpected label"))
 
 
+def shown_number(number: Column) -> Column:
+    """A number as the report shows it: whole ones as integers, infinities as ``inf``."""
+    whole = F.coalesce(number.try_cast("bigint").cast("string"), number.cast("string"))
+    return (
+        F.when(number == float("inf"), "inf")
+        .when(number == float("-inf"), "-inf")
+        .when(number == F.rint(number), whole)
+        .otherwise(number.cast("string"))
+    )
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0))
 
@@ -88,13 +99,7 @@ def label_distribution(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
     expected = label_table(train).select(F.col("LABEL").cast("double").alias("value"))
     shown = by_value.join(expected, "value", "full_outer").select(
         F.when(F.col("value").isNull(), F.lit("missing_or_unparseable"))
-        .when(
-            F.col("value") == F.rint("value"),
-            F.coalesce(
-                F.col("value").try_cast("bigint").cast("string"), F.col("value").cast("string")
-            ),
-        )
-        .otherwise(F.col("value").cast("string"))
+        .otherwise(shown_number(F.col("value")))
         .alias("LABEL"),
         F.when(F.col("value").isNull(), F.lit("missing or unparseable label"))
         .otherwise(label_name(F.col("value")))
@@ -104,26 +109,41 @@ def label_distribution(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
     return shown.withColumn("proportion_pct", percent(F.col("count"), total))
 
 
+def unexpected_labels(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
+    """``(value, rows)`` of every number that is no expected label."""
+    number = to_number(F.col(label_col))
+    return (
+        train.select(number.alias("value"))
+        .filter(~F.isnan("value") & ~F.col("value").isin(LABELS))
+        .groupBy("value")
+        .agg(F.count("*").alias("rows"))
+    )
+
+
 def label_integrity(train: DataFrame, label_col: str = "LABEL") -> DataFrame:
-    """One row: valid, missing and unexpected labels, and which unexpected ones."""
+    """One row: valid, missing and unexpected label rows, and how many unexpected values.
+
+    Which values these are is a table of its own, `unexpected_labels`.
+    """
     number = to_number(F.col(label_col))
-    by_value = train.groupBy(F.when(~F.isnan(number), number).alias("value")).count()
-    valid, missing = F.col("value").isin(LABELS), F.col("value").isNull()
-
-    def rows(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("count"))), F.lit(0))
-
-    # one entry per distinct value; shown as integers unless some row needs a float
-    unexpected = F.array_sort(F.collect_list(F.when(~valid, F.col("value"))))
-    whole = rows(missing | (F.col("value") != F.rint("value"))) == 0
-    return by_value.agg(
-        rows(valid).alias("valid_label_rows"),
-        rows(missing).alias("missing_or_unparseable_rows"),
-        rows(~valid).alias("unexpected_label_rows"),
-        F.array_join(
-            F.when(whole, F.transform(unexpected, lambda v: v.try_cast("bigint").cast("string")))
-            .otherwise(F.transform(unexpected, lambda v: v.cast("string"))),
-            ", ",
-        ).alias("unexpected_label_values"),
-        (rows(missing | ~valid) == 0).alias("all_training_labels_valid"),
+    missing = number.isNull() | F.isnan(number)
+    valid = ~missing & number.isin(LABELS)
+    odd = unexpected_labels(train, label_col).agg(F.count("*")).scalar()
+    return train.agg(
+        F.count_if(valid).alias("valid_label_rows"),
+        F.count_if(missing).alias("missing_or_unparseable_rows"),
+        F.count_if(~missing & ~valid).alias("unexpected_label_rows"),
+        odd.alias("unexpected_label_count"),
+        (F.count_if(~valid) == 0).alias("all_training_labels_valid"),
     )
+
+
+def shown_labels(unexpected: DataFrame) -> str:
+    """The values of `unexpected_labels` as one text, for a report that shows them.
+
+    As integers if all are, else as floats; the smallest first.
+    """
+    values = sorted(row.value for row in unexpected.select("value").toLocalIterator())
+    if all(v == v // 1 for v in values if abs(v) != float("inf")) and all(abs(v) != float("inf") for v in values):
+        return ", ".join(str(int(v)) for v in values)
+    return ", ".join(str(v) for v in values)

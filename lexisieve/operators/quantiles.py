@@ -8,8 +8,6 @@ from pyspark.sql.window import Window
 
 from lexisieve.session import materialize
 
-BUCKETS = 1024
-
 
 def numeric_summary(df: DataFrame, groups: list[str], value_col: str) -> DataFrame:
     """Count, mean, min, median, 90th percentile and max per group.
@@ -18,13 +16,16 @@ def numeric_summary(df: DataFrame, groups: list[str], value_col: str) -> DataFra
     has count 0 and nulls. Quantiles interpolate linearly between the two
     neighbouring ranks.
 
-    Values are counted before the shuffle and spread by value. Ranks are then
-    located in at most 1024 buckets per group, and only buckets that hold a
-    wanted rank are sorted, so no task ever holds a whole group. The histogram is
-    written once: whatever computes the values runs a single time.
+    Values are counted before the shuffle. The histogram is written once, range-partitioned
+    by group and value, whatever the values' distribution: a partition holds a bounded run of
+    distinct values. Ranks are located by the partitions' totals, and only the runs that hold
+    a wanted rank are sorted, so no task ever holds a whole group.
     """
     clean = F.when(~F.isnan(value_col) & (F.abs(value_col) != float("inf")), F.col(value_col))
-    histogram = materialize(df.groupBy(*groups, clean.alias("_value")).agg(F.count("*").alias("_n")))
+    counted = df.groupBy(*groups, clean.alias("_value")).agg(F.count("*").alias("_n"))
+    histogram = materialize(
+        counted.repartitionByRange(*groups, "_value").withColumn("_bucket", F.spark_partition_id())
+    )
     value, n = F.col("_value"), F.when(F.col("_value").isNotNull(), F.col("_n"))
     totals = histogram.groupBy(*groups).agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("count"),
@@ -32,20 +33,7 @@ def numeric_summary(df: DataFrame, groups: list[str], value_col: str) -> DataFra
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-
-    same = [F.col(f"h.{g}").eqNullSafe(F.col(f"t.{g}")) for g in groups]
-    width = (F.col("max") - F.col("min")) / BUCKETS
-    bucketed = (
-        histogram.alias("h")
-        .join(totals.alias("t"), same)
-        .select(
-            *[F.col(f"h.{g}").alias(g) for g in groups],
-            "_value",
-            F.coalesce(n, F.lit(0)).alias("_n"),
-            "count",
-            F.coalesce(F.floor(F.try_divide(value - F.col("min"), width)), F.lit(0)).alias("_bucket"),
-        )
-    )
+    bucketed = histogram.withColumn("_n", F.coalesce(n, F.lit(0)))
     upto = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -57,7 +45,8 @@ def numeric_summary(df: DataFrame, groups: list[str], value_col: str) -> DataFra
     )
     wanted = (
         bucketed.groupBy(*groups, "_bucket")
-        .agg(F.sum("_n").alias("_rows"), F.max("count").alias("count"))
+        .agg(F.sum("_n").alias("_rows"))
+        .withColumn("count", F.sum("_rows").over(Window.partitionBy(*groups)))
         .withColumn("_end", F.sum("_rows").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_rows"))
         .withColumn("rank", F.explode(ranks))

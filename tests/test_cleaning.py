@@ -80,7 +80,7 @@ def test_report_tables(spark):
     train, test = train.select("row_idx", "ID", "TEXT", "LABEL"), test.select("row_idx", "ID", "TEXT")
     sample = test.select("row_idx", "ID", F.lit(0).alias("LABEL"))
     made = R.build_tables(train, test, sample)
-    assert len(made) == 10
+    assert len(made) == 11
     assert all(r.matches_expected_order for r in made["columns"].collect())
     missing = {(r.split, r.column): (r.missing_count, r.blank_count) for r in made["missing"].collect()}
     assert missing["train", "TEXT"] == (1, 2) and missing["test", "TEXT"] == (0, 1)

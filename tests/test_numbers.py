@@ -84,9 +84,9 @@ def test_idf_and_limits(spark):
     docs = spark.createDataFrame(rows, "row_idx long, clean_text string")
     terms = X.document_terms(docs, {"word": (1, 1)})
     n = docs.agg(F.count("*")).scalar()
-    idf = {r.term: r.idf for r in X.vocabulary(terms, n, {"word": 1}, {}).collect()}
+    idf = {r.term: r.idf for r in X.vocabulary(X.document_frequency(terms), n, {"word": 1}, {}).collect()}
     assert idf["aa"] == pytest.approx(1.0) and idf["bb"] == pytest.approx(1.916291, abs=1e-6)
-    assert X.vocabulary(terms, n, {"word": 2}, {"word": 0.95}).count() == 0
+    assert X.vocabulary(X.document_frequency(terms), n, {"word": 2}, {"word": 0.95}).count() == 0
 
 
 def test_unknown_terms_and_zero_scale(spark):
@@ -94,11 +94,12 @@ def test_unknown_terms_and_zero_scale(spark):
                                   "row_idx long, clean_text string, base_text string")
     test = spark.createDataFrame([(9, "bb qq"), (8, "qq")], "row_idx long, clean_text string")
     n = train.agg(F.count("*")).scalar()
-    vocab = X.vocabulary(X.document_terms(train, {"word": (1, 1)}), n, {"word": 2}, {})
-    rows = X.tfidf(X.document_terms(test, {"word": (1, 1)}), vocab).collect()
+    counts = X.document_frequency(X.document_terms(train, {"word": (1, 1)}))
+    vocab = X.vocabulary(counts, n, {"word": 2}, {})
+    terms = X.document_terms(test, {"word": (1, 1)})
+    rows = X.tfidf(terms, vocab).collect()
     assert [(r.row_idx, r.term, r.weight) for r in rows] == [(9, "bb", 1.0)]
-    weights = vocab.select("branch", "term", "df", F.lit(2.0).alias("w"))
-    scored = X.linear_score(X.tfidf(X.document_terms(test, {"word": (1, 1)}), vocab), weights, test, 0.5)
+    scored = X.linear_score(terms, vocab.withColumn("weight", F.lit(2.0)), test, 0.5)
     assert {r.row_idx: r.margin for r in scored.collect()} == {9: 2.5, 8: 0.5}
     assert X.surface_scale(train).first().question_count == 1.0
 
@@ -117,6 +118,32 @@ def test_join_by_weight_equals_join(spark):
     assert left.count() == 20000 and left.filter("top is null and k <> 'hot'").count() == 0
 
 
+def test_hot_keys_without_a_partner_are_dropped_or_spread(spark):
+    """Three quarters of all rows on one key: no partition holds more than twice the mean."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        facts = spark.range(40000).select(
+            F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"), "id"
+        )
+        for keep in ("k <> 'hot'", "k = 'hot'"):
+            dim = facts.groupBy("k").agg(F.count("*").alias("n")).withColumn("keep", F.expr(keep))
+            joined = join_by_weight(facts, dim, ["k"], "n", F.col("id"), keep="keep")
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert joined.columns == ["k", "id", "n"] and sum(sizes) == (10000 if "<>" in keep else 30000)
+            assert max(sizes) <= 2 * sum(sizes) / 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_quantiles_with_an_outlier(spark):
+    df = spark.range(200_000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") == 0, 1e300).otherwise(F.col("id") * 0.5).alias("v")
+    )
+    row = numeric_summary(df, ["g"], "v").first()
+    assert (row["count"], row["min"], row["median"], row["max"]) == (200_000, 0.5, 50000.25, 1e300)
+    assert row.p90 == pytest.approx(0.5 + 0.9 * 199_999 * 0.5)
+
+
 def test_dense_index(spark):
     df = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("term"))
     rows = with_dense_index(df, ["term"], "idx", buckets=16)

@@ -54,6 +54,29 @@ def test_csv_of_several_files(spark, tmp_path):
     assert [r.ID for r in rows] == [f"{p}-{i}" for p in range(3) for i in range(p * 50 + 3)]
 
 
+def write(path, text):
+    with open(path, "w", newline="") as out:
+        out.write(text)
+
+
+def test_headers_in_another_order_are_an_error(spark, tmp_path):
+    write(tmp_path / "a.csv", "ID,TEXT\n1,hello\n")
+    write(tmp_path / "b.csv", "TEXT,ID\nworld,2\n")
+    with pytest.raises(ContractError, match="headers"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_surplus_cells_are_an_error_and_short_rows_end_in_nulls(spark, tmp_path):
+    short = 'ID,TEXT,LABEL\n1,"a, ""b"",\nc"\n2,x,1\n'
+    write(tmp_path / "short.csv", short)
+    rows = read_csv(spark, str(tmp_path / "short.csv")).orderBy("row_idx").collect()
+    assert [(r.ID, r.TEXT, r.LABEL) for r in rows] == [("1", 'a, "b",\nc', None), ("2", "x", "1")]
+    for surplus in ("3,too,many,cells\n", "3,a,b,\n"):
+        write(tmp_path / "long.csv", short + surplus)
+        with pytest.raises(ContractError, match="more cells"):
+            read_csv(spark, str(tmp_path / "long.csv"))
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_csv(spark, str(tmp_path / "none.csv"))
@@ -66,6 +89,9 @@ def test_train_and_submit(spark, root, tmp_path):
     assert done["cleaning_summary"]["clean_train_rows"] == 89  # d1 and the row shared with test
     assert done["validation_macro_f1"] > 0.6
     assert all(done["submission_validation"].values())
+    assert done["submission_validation"]["submission_row_count"] == len(test)
+    settings = {r.setting: r.value for r in spark.read.parquet(str(tmp_path / "configuration")).collect()}
+    assert settings["stage2_char"] == "(3, 6)" and settings["random_seed"] == "539"
     written = spark.read.option("header", True).csv(str(tmp_path / "submission"))
     assert written.columns == ["ID", "LABEL"] and written.count() == len(test)
     labels = {r.ID: int(r.LABEL) for r in written.collect()}
