@@ -324,12 +324,13 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = materialize(_classes(sets, links))
     # tokens that still hold several classes
     held = postings.join(classes, "s")
-    open_lists = materialize(
+    all_lists = materialize(
         held.groupBy("token")
         .agg(F.count("*").alias("k"), F.min("s").alias("rep"), F.min("class").alias("c1"), F.max("class").alias("c2"))
-        .filter("c1 != c2")
-        .select("token", "k", "rep")
+        .filter("k > 1")
+        .select("token", "k", "rep", (F.col("c1") != F.col("c2")).alias("open"))
     )
+    open_lists = all_lists.filter("open")
     # 2. short lists: pairs of different classes
     short = materialize(held.join(open_lists.filter(F.col("k") <= SMALL_LIST).select("token"), "token"))
     one = short.select("token", F.col("s").alias("a"), F.col("class").alias("ca"))
@@ -340,9 +341,10 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = pairs.distinct().join(starred, ["a", "b"], "left_anti")
     links = links.union(materialize(verify(pairs, sets, percent)))
     # 3. long lists: clusters, block against block
-    long = join_by_weight(
-        postings, open_lists.filter(F.col("k") > SMALL_LIST), ["token"], "k", F.col("s")
-    ).select(F.col("rep").alias("a"), F.col("s").alias("b"))
+    long_lists = all_lists.select("token", "k", "rep", (F.col("open") & (F.col("k") > SMALL_LIST)).alias("long"))
+    long = join_by_weight(postings, long_lists, ["token"], "k", F.col("s"), keep="long").select(
+        F.col("rep").alias("a"), F.col("s").alias("b")
+    )
     members = materialize(
         connected_components(long).select(F.col("id").alias("s"), F.col("root").alias("cluster")).join(classes, "s")
     )

@@ -39,3 +39,64 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
     bool_and(legal) AND bool_or(last AND role = 'assistant') AS valid,
     (min(pos) FILTER (NOT legal))::BIGINT AS first_bad
 FROM judged GROUP BY conv_id"""
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op1_jaccard_join"] = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2
+), link AS (
+    SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+    WHERE 100 * inter >= 80 * (x.n + y.n - inter)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN size ON size.doc_id = a GROUP BY 1"""
+
+
+def _license_sql() -> str:
+    from lexisieve.llm import licenses
+
+    rows = ", ".join(
+        f"({t.number}, '{t.label}', {list(t.words)}, {t.need}, {licenses.block_size(t)})"
+        for t in licenses.templates(0.8)
+    )
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, i - 1 AS pos FROM placed WHERE array_to_string(w[i:i + {len(p.split()) - 1}], ' ') = '{p}'"
+        for p, label in licenses.PHRASES.items()
+    )
+    return f"""
+WITH split AS (
+    SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), template(number, label, words, need, size) AS (VALUES {rows}),
+placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+base AS ({places}),
+block AS (
+    SELECT doc_id, size, list_distinct(w[start + 1:start + size]) AS b
+    FROM (SELECT doc_id, w, size, unnest(range(0, greatest(len(w), 1), size // 2)) AS start
+        FROM split, (SELECT DISTINCT size FROM template))
+), met AS (
+    SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS c FROM block JOIN template USING (size)
+    WHERE len(list_intersect(b, words)) >= need
+), every_label AS (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM met)
+SELECT doc_id, len(w)::BIGINT AS n_words,
+    (SELECT count(*) FROM base b WHERE b.doc_id = s.doc_id)::BIGINT AS n_base,
+    (SELECT min(pos) FROM base b WHERE b.doc_id = s.doc_id)::BIGINT AS first_word,
+    (SELECT max(pos) FROM base b WHERE b.doc_id = s.doc_id)::BIGINT AS last_word,
+    coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM base b WHERE b.doc_id = s.doc_id), '') AS base_labels,
+    coalesce((SELECT string_agg(label, ',' ORDER BY label) FROM every_label e WHERE e.doc_id = s.doc_id), '') AS labels,
+    coalesce((SELECT max(c) FROM met m WHERE m.doc_id = s.doc_id), 0)::DOUBLE AS score
+FROM split s"""
+
+
+ORACLE["op9_license_scan"] = _license_sql()
