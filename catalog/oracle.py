@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from catalog.views import with_views
 from lexisieve.functions.normalize import CONTRACTIONS
 from lexisieve.operators.labels import LABEL_MEANINGS
@@ -665,3 +667,97 @@ ORACLE["overall_metrics"] = with_views(
         (SELECT count(*) FROM judged) AS row_count FROM c""",
     "v_train", judged=JUDGED, meanings=_MEANINGS, c=PER_CLASS,
 )
+
+# --- classifier with weights from a formula -----------------------------------------------
+
+
+def _prepared(view: str) -> dict[str, str]:
+    """``{view}_based``, ``{view}_clean``, ``{view}_neg`` (row_idx, x) and surface features ``{view}_f``."""
+    negation = _negation(f"{view}_clean", "x")
+    names = re.compile(r"\b(" + "|".join(negation) + r")\b")
+    return {
+        f"{view}_based": f"SELECT row_idx, {_base(RAW)} AS x FROM {view}",
+        f"{view}_s2": f"SELECT row_idx, {_expand(_mask('x'))} AS x FROM {view}_based",
+        f"{view}_s3": f"SELECT row_idx, {_grade(_rate('x'))} AS x FROM {view}_s2",
+        f"{view}_clean": f"SELECT row_idx, {_collapse(_shorten(_punct('x')))} AS x FROM {view}_s3",
+        **{f"{view}_{n}": names.sub(rf"{view}_\1", body) for n, body in negation.items()},
+        f"{view}_neg": f"SELECT c.row_idx, coalesce(j.x, '') AS x FROM {view}_clean c LEFT JOIN {view}_joined j USING (row_idx)",
+        f"{view}_f": SURFACE.replace("FROM based", f"FROM {view}_based"),
+    }
+
+
+def _branch(name: str, grams: str) -> str:
+    return f"""SELECT row_idx, sum(x * w) / sqrt(sum(x * x)) AS part FROM
+        (SELECT row_idx, (1 + ln(tf)) * idf AS x, ((length(term) * 7) % 5 - 2) / 10.0 AS w FROM
+            (SELECT row_idx, term, count(*) AS tf FROM {grams} GROUP BY 1, 2) JOIN {name} USING (term)) GROUP BY 1"""
+
+
+STAGES = (("one", "clean", 2, 5, 3, 0.5), ("two", "neg", 3, 6, 2, 1.0))
+
+
+def _vocabularies(fit: str) -> dict[str, str]:
+    """Both stages' vocabularies from the prepared view ``fit``, which has a LABEL."""
+    parts = {}
+    for name, text, word, char, char_min, _ in STAGES:
+        source = f"{name}_fit"
+        only = "" if name == "one" else f"WHERE row_idx IN (SELECT row_idx FROM {fit} WHERE LABEL IN (1, 2))"
+        parts |= {source: f"SELECT * FROM {fit}_{text} {only}", f"{name}_top": f"SELECT * FROM {fit}_f {only}"}
+        parts |= _word_grams(source, "x", word) | _char_grams(source, "x", char)
+        parts[f"{name}_wv"] = _vocab(f"{source}_wgrams", source, 2, "0.95")
+        parts[f"{name}_cv"] = _vocab(f"{source}_cgrams", source, char_min, None)
+    return parts
+
+
+def _predicted(fit: str, given: str) -> dict[str, str]:
+    """``predicted(row_idx, pred)`` of the view ``given``, fitted on the view ``fit``."""
+    parts = _prepared(fit) | _prepared(given) | _vocabularies(fit)
+    for name, text, word, char, _, weight in STAGES:
+        source = f"{name}_given"
+        parts[source] = f"SELECT * FROM {given}_{text}"
+        parts |= _word_grams(source, "x", word) | _char_grams(source, "x", char)
+        parts[f"{name}_w"] = _branch(f"{name}_wv", f"{source}_wgrams")
+        parts[f"{name}_c"] = _branch(f"{name}_cv", f"{source}_cgrams")
+        surface = " + ".join(
+            f"""g.{n} / (SELECT CASE WHEN max(abs({n})) > 0 THEN max(abs({n})) ELSE 1 END FROM {name}_top)
+            * {0.05 * (i - 4) * weight!r}"""
+            for i, n in enumerate(NAMES)
+        )
+        parts[f"{name}_margin"] = f"""SELECT row_idx, 0.1 + coalesce(w.part, 0) + coalesce(c.part, 0) + {surface} AS margin
+            FROM {given}_f g LEFT JOIN {name}_w w USING (row_idx) LEFT JOIN {name}_c c USING (row_idx)"""
+    parts["predicted"] = """SELECT row_idx, (CASE WHEN a.margin <= 0 THEN 0 WHEN b.margin > 0 THEN 2 ELSE 1 END)::BIGINT AS pred
+        FROM one_margin a JOIN two_margin b USING (row_idx)"""
+    return parts
+
+
+ORACLE["two_stage_fit"] = with_views(
+    " UNION ALL ".join(
+        f"SELECT '{task}' AS task, '{branch}' AS branch, count(*) AS terms, sum(df)::BIGINT AS df_sum FROM {name}_{table}"
+        for name, task in (("one", "label 0 vs review"), ("two", "label 1 vs label 2"))
+        for branch, table in (("word", "wv"), ("char", "cv"))
+    ),
+    "v_train", **_prepared("v_train"), **_vocabularies("v_train"),
+)
+ORACLE["two_stage_predict"] = with_views(
+    "SELECT row_idx, pred FROM predicted", "v_train", "v_test", **_predicted("v_train", "v_test")
+)
+ORACLE["submission"] = _on_keys(
+    """SELECT sk.row_idx, sk.ID, pred AS LABEL FROM sk JOIN uniq USING (k)
+    JOIN predicted p ON p.row_idx = uniq.row_idx""",
+    **_predicted("clean", "uniq"),
+)
+ORACLE["holdout_eval"] = _on_keys(
+    f"""SELECT round(avg({F1}), 6) AS macro_f1, (SELECT round(avg((a = p)::INT), 6) FROM judged) AS accuracy,
+        (SELECT count(*) FROM judged) AS row_count FROM c""",
+    shares="""SELECT LABEL, ceil(0.2 * sum(count(*)) OVER ()) AS size,
+        ceil(0.2 * sum(count(*)) OVER ()) * count(*) / sum(count(*)) OVER () AS exact FROM clean GROUP BY LABEL""",
+    quotas="""SELECT LABEL, floor(exact) + CASE WHEN row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, LABEL)
+        <= size - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS quota FROM shares""",
+    halves="""SELECT p.row_idx, p.TEXT, p.LABEL, place <= quota AS is_valid FROM (
+        SELECT v.*, row_number() OVER (PARTITION BY v.LABEL ORDER BY md5(concat(ID, '539')), row_idx) AS place
+        FROM clean v) p JOIN quotas USING (LABEL)""",
+    fitted="SELECT * FROM halves WHERE NOT is_valid",
+    held="SELECT * FROM halves WHERE is_valid",
+    **_predicted("fitted", "held"),
+    judged="SELECT LABEL AS a, pred AS p FROM predicted JOIN held USING (row_idx)",
+    meanings=_MEANINGS, c=PER_CLASS,
+)
