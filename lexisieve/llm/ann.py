@@ -192,6 +192,7 @@ def nearest(
     probes = given(queries).filter(same).mapInPandas(search, "id bigint, v array<double>, leaf int, block int")
 
     def rerank(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        """One row for each query, with its best entries of the block."""
         out = []
         if len(asked) and len(held):
             theirs = _matrix(held["v"])
@@ -201,22 +202,22 @@ def nearest(
                 rough = theirs @ vector
                 edge = np.partition(rough, -take)[-take]
                 near = np.flatnonzero(rough >= edge - 1e-9)
-                for at, score in zip(near, (theirs[near] * vector).sum(axis=1)):
-                    out.append((query, ids[at][0], score, ids[at]))
-        return pd.DataFrame(out, columns=["query_id", "entry", "score", "ids"])
+                costs = -(theirs[near] * vector).sum(axis=1)
+                out.append((query, costs, [ids[at] for at in near]))
+        return pd.DataFrame(out, columns=["query_id", "costs", "ids"])
 
     scored = (
         probes.groupBy("leaf", "block")
         .cogroup(placed.groupBy("leaf", "block"))
-        .applyInPandas(rerank, "query_id bigint, entry bigint, score double, ids array<bigint>")
+        .applyInPandas(rerank, "query_id bigint, costs array<double>, ids array<array<bigint>>")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "entry")
+    # as long as a query's blocks times k; an entry comes once from each tree
+    together = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("costs", "ids"))))
+    best = scored.groupBy("query_id").agg(F.slice(F.array_sort(together), 1, k + 1).alias("best"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        scored.dropDuplicates(["query_id", "entry"])
-        .withColumn("_place", F.row_number().over(best))
-        .filter(F.col("_place") <= k + 1)
-        .select("query_id", "score", F.explode("ids").alias("vec_id"))
+        best.select("query_id", F.inline("best"))
+        .select("query_id", (-F.col("costs")).alias("score"), F.explode("ids").alias("vec_id"))
         .filter("vec_id != query_id")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
