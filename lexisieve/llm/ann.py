@@ -134,8 +134,11 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the ``k`` best found of ``vectors`` for each of ``queries``."""
     spark = vectors.sparkSession
 
+    # 32-bit vectors travel as such; all arithmetic is in double precision
+    kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
+
     def given(df: DataFrame) -> DataFrame:
-        vector = F.col(vector_col).cast("array<double>")
+        vector = F.col(vector_col).cast(kind)
         return df.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("v")).filter(
             F.col("id").isNotNull() & usable(F.col("v"))
         )
@@ -164,32 +167,32 @@ def nearest(
         for rows in batches:
             for at in range(0, len(rows), 1000):
                 part = rows.iloc[at : at + 1000]
-                leaves = forest.leaves(_matrix(part["v"]))
-                out = part.loc[part.index.repeat(trees)]
-                yield out.assign(leaf=leaves.ravel().astype("int32"))
+                yield part.assign(leaves=list(forest.leaves(_matrix(part["v"])).astype("int32")))
 
-    indexed = materialize(entries.mapInPandas(index, "v array<double>, ids array<bigint>, leaf int"))
+    indexed = materialize(entries.mapInPandas(index, f"v {kind}, ids array<bigint>, leaves array<int>"))
+    by_leaf = indexed.select("v", "ids", F.explode("leaves").alias("leaf"))
     counts = np.zeros(forest.n_leaves, np.int64)
-    for row in indexed.groupBy("leaf").count().collect():  # as many rows as the forest has leaves
+    for row in by_leaf.groupBy("leaf").count().collect():  # as many rows as the forest has leaves
         counts[row["leaf"]] = row["count"]
-    blocks = np.maximum(-(-counts // BLOCK), 1)
+    blocks = F.get(F.array(*[F.lit(max(int(-(-c // BLOCK)), 1)) for c in counts]), "leaf")
     wanted = max(min_candidates, int(share * n))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for at in range(0, len(rows), 200):
                 part = rows.iloc[at : at + 200]
-                found = [
-                    [(leaf, block) for leaf in forest.search(m, counts, wanted) for block in range(blocks[leaf])]
-                    for m in forest.margins(_matrix(part["v"]))
-                ]
-                out = part.loc[part.index.repeat([len(f) for f in found])]
-                places = np.array([p for f in found for p in f], "int32").reshape(-1, 2)
-                yield out.assign(leaf=places[:, 0], block=places[:, 1])
-
-    of_leaf = F.array(*[F.lit(int(b)) for b in blocks])
-    placed = indexed.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), F.get(of_leaf, "leaf")).cast("int"))
-    probes = given(queries).filter(same).mapInPandas(search, "id bigint, v array<double>, leaf int, block int")
+                margins = forest.margins(_matrix(part["v"]))
+                yield part.assign(leaves=[forest.search(m, counts, wanted) for m in margins])
+
+    # vectors are copied for their leaves on the JVM's side
+    placed = by_leaf.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), blocks).cast("int"))
+    probes = (
+        given(queries)
+        .filter(same)
+        .mapInPandas(search, f"id bigint, v {kind}, leaves array<int>")
+        .select("id", "v", F.explode("leaves").alias("leaf"))
+        .select("id", "v", "leaf", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    )
 
     def rerank(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         """One row for each query, with its best entries of the block."""
