@@ -97,24 +97,24 @@ def rake(cells: DataFrame, targets: DataFrame, mixture: Mixture) -> DataFrame:
 
     ``targets`` is ``(margin, value, target)``. A value without a target gets none.
     """
+    # a cell carries its targets, so a step needs no join but the one with its margin's sums
+    goals = {margin: f"_goal_{margin}" for margin in mixture.margins}
+    fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
     targets = materialize(targets)
-    fitted = materialize(cells.withColumn("weight", F.col("tokens").cast("double")))
+    for margin, goal in goals.items():
+        of_margin = targets.filter(F.col("margin") == margin).select(
+            F.col("value").alias(margin), F.col("target").alias(goal)
+        )
+        fitted = fitted.join(of_margin, margin, "left")
+    fitted = materialize(fitted)
     for _ in range(mixture.rounds):
-        step = fitted.withColumnRenamed("weight", "_before").withColumn("weight", F.col("_before"))
-        for margin in mixture.margins:
-            goal = targets.filter(F.col("margin") == margin).select(F.col("value").alias(margin), "target")
-            factors = (
-                step.groupBy(margin)
-                .agg(F.sum("weight").alias("_now"))
-                .join(goal, margin, "left")
-                .select(
-                    margin,
-                    F.coalesce(F.try_divide(F.col("target"), F.col("_now")), F.lit(0.0)).alias("_factor"),
-                )
-            )
-            step = step.join(factors, margin).withColumn(
-                "weight", F.least(F.col("weight") * F.col("_factor"), F.col("tokens").cast("double"))
-            ).drop("_factor")
+        step = fitted.withColumn("_before", F.col("weight"))
+        for margin, goal in goals.items():
+            now = step.groupBy(margin).agg(F.sum("weight").alias("_now"))
+            factor = F.coalesce(F.try_divide(F.col(goal), F.col("_now")), F.lit(0.0))
+            step = step.join(now, margin).withColumn(
+                "weight", F.least(F.col("weight") * factor, F.col("tokens").cast("double"))
+            ).drop("_now")
         step = materialize(step)
         change = step.agg(
             F.sum(F.abs(F.col("weight") - F.col("_before"))).alias("moved"), F.sum("_before").alias("all")
@@ -122,7 +122,7 @@ def rake(cells: DataFrame, targets: DataFrame, mixture: Mixture) -> DataFrame:
         fitted = step.drop("_before")
         if not change["all"] or change["moved"] <= mixture.tolerance * change["all"]:
             break
-    return fitted
+    return fitted.drop(*goals.values())
 
 
 def _lot(id_col: Column, seed: int) -> Column:
