@@ -7,9 +7,12 @@ last token of each prefix gives the encoding of every prefix, so bytes are appen
 without looking at earlier ones again, and after an edit only the places near it are
 computed anew (`PrefixTable`, `EncodedText`).
 
+A column's texts are cut into pieces by a pattern, and the last tokens of their prefixes
+are shared between pieces that start alike.
+
 Ranks come from a file (one base64 token and its rank a line), read once per Python
-worker from ``path``, which every executor must have. Whether two tokens go together, and
-the encoding of a piece, are kept in tables of bounded size.
+worker from ``path``, which every executor must have. Last tokens, pairs that go together
+and the encodings of pieces are kept in tables of bounded size.
 
 Defined results: null text is encoded as empty; null ids are decoded as no bytes; the
 encoding of a text does not depend on other rows; an empty table gives an empty result.
@@ -27,7 +30,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MOST_PIECES, MOST_PAIRS = 150_000, 250_000
+MOST_PIECES, MOST_PREFIXES, MOST_PAIRS = 500_000, 150_000, 250_000
+LONG_PIECE = 64
 FOREVER = 1 << 60
 
 
@@ -59,6 +63,7 @@ class BytePairs:
         self.split = regex.compile(pattern).findall
         self.edges = _Table(self._edges, MOST_PAIRS)
         self.together = _Table(self._together, MOST_PAIRS)
+        self.lasts = _Table(self._last_of, MOST_PREFIXES)
         self.pieces = _Table(self._piece, MOST_PIECES)
 
     def _merges(self, token: bytes) -> tuple[list, list]:
@@ -117,14 +122,32 @@ class BytePairs:
                     return rank
         raise ValueError(f"no token for byte {piece[end - 1]}")
 
+    def _last_of(self, prefix: bytes) -> int:
+        """The last token of ``prefix``, which later pieces with this start use again.
+
+        Shorter prefixes are looked at only where a token that ends the prefix leaves off.
+        """
+        ranks, edges = self.ranks, self.edges
+        for start in range(max(0, len(prefix) - self.longest), len(prefix)):
+            end = prefix[start:]
+            if end in ranks:
+                rank = ranks[end]
+                if edges[rank] is not None and (not start or self.together[self.lasts[prefix[:start]], rank]):
+                    return rank
+        raise ValueError(f"no token for byte {prefix[-1]}")
+
     def encode_bytes(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        last = [-1]
-        for end in range(1, len(piece) + 1):
-            last.append(self.last_token(piece, end, last))
-        return self.walk_back(last, len(piece))
+        if len(piece) > LONG_PIECE:
+            return PrefixTable(self, piece).tokens()
+        out = [self._last_of(piece)]  # a whole piece is kept as one, in `pieces`
+        rest = piece[: -len(self.bytes_of[out[0]])]
+        while rest:
+            out.append(self.lasts[rest])
+            rest = rest[: -len(self.bytes_of[out[-1]])]
+        return out[::-1]
 
     def walk_back(self, last: list[int], end: int) -> list[int]:
         out = []
