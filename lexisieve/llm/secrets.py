@@ -1,13 +1,13 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 Candidates are runs of key-like characters that hold a digit or are very long, and values
-assigned to a name such as ``password``. A forest decides which are secrets, from their
+assigned to a name such as ``password``, whole: runs inside them are part of them. A forest decides which are secrets, from their
 length, the kinds of characters and how often they change, how much of them dictionary
 words cover, the path (source) they come from, and the words next to them.
 
 It is trained on labelled findings. `label_findings` labels the clear cases of a corpus by
-rule (known key formats and mixed values under a secret's name against plain numbers and
-plain words) and leaves the others open; own labelled findings may be given instead. At
+rule (known key formats and mixed values under a secret's name against plain numbers,
+plain words, and UUIDs, hex digests and timestamps that are not assigned) and leaves the others open; own labelled findings may be given instead. At
 most ``fit_rows`` of each label are used for fitting, those with the least hashes. The
 dictionary holds the ``dictionary_words`` most frequent words of all texts.
 
@@ -40,6 +40,9 @@ ASSIGNED = re.compile(
 )
 SECRET_NAMES = r"(?i)^(password|passwd|pwd|secret|token|key|apikey|api_key|api-key|access_key|credential)$"
 KNOWN_KEYS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})$"
+UUIDS = r"(?i)^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
+DIGESTS = r"(?i)^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
+TIMESTAMPS = r"^[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2,6}Z?$"
 
 PLAIN_RUN, CONTEXT = 24, 48
 BEFORE = re.compile(r"([A-Za-z_\-]+)[\"']?[\s:=\"']*$")
@@ -59,24 +62,30 @@ class SecretScan:
 
 def find_candidates(text: str) -> list[tuple[int, int, str, str, bool]]:
     """``(start, end, word before, word after, assigned)`` of every candidate, in code points."""
-    found: dict[int, int] = {}
+    # a value takes in the runs inside it; a run that reaches into one ends where it starts
+    found: list[tuple[int, int]] = []
+    values = [m.span(1) for m in ASSIGNED.finditer(text)] if "=" in text or ":" in text else []
+    at = 0
     for m in RUN.finditer(text):
-        run = m.group()
-        if len(run) >= PLAIN_RUN or any(map(str.isdigit, run)):
-            found[m.start()] = m.end()
-    if "=" in text or ":" in text:
-        for m in ASSIGNED.finditer(text):
-            inside = [a for a in found if m.start(1) <= a < m.end(1) or a <= m.start(1) < found[a]]
-            if not inside:
-                found[m.start(1)] = m.end(1)
+        run, (start, end) = m.group(), m.span()
+        if len(run) < PLAIN_RUN and not any(map(str.isdigit, run)):
+            continue
+        while at < len(values) and values[at][1] <= start:
+            found.append(values[at])
+            at += 1
+        if at == len(values):
+            found.append((start, end))
+        elif start < values[at][0]:
+            found.append((start, min(end, values[at][0])))
+    found += values[at:]
     out = []
-    for start in sorted(found):
+    for start, end in found:
         left = text[max(0, start - CONTEXT) : start]
-        before, after = BEFORE.search(left), AFTER.search(text[found[start] : found[start] + CONTEXT])
+        before, after = BEFORE.search(left), AFTER.search(text[end : end + CONTEXT])
         out.append(
             (
                 start,
-                found[start],
+                end,
                 before.group(1) if before else "",
                 after.group(1) if after else "",
                 left.rstrip(" \t\"'").endswith(("=", ":")),
@@ -144,9 +153,11 @@ def label_findings(findings: DataFrame) -> DataFrame:
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     named = F.col("assigned") & F.col("before").rlike(SECRET_NAMES)
     plain = value.rlike("^[0-9_+/-]+$") | value.rlike("^[A-Za-z_+/-]+$")
+    formal = value.rlike(UUIDS) | value.rlike(DIGESTS) | value.rlike(TIMESTAMPS)
     return findings.withColumn(
         "label",
-        F.when(value.rlike(KNOWN_KEYS) | (named & mixed), 1.0).when(plain & ~named, 0.0),
+        F.when(value.rlike(KNOWN_KEYS) | (named & mixed), 1.0)
+        .when((plain & ~named) | (formal & ~F.col("assigned")), 0.0),
     )
 
 

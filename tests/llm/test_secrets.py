@@ -71,3 +71,22 @@ def test_candidates():
     assert [(f[2], f[4]) for f in found] == [("api_key", True), ("", False), ("password", True)] or [
         f[4] for f in found
     ] == [True, False, True]
+
+
+def test_assigned_values_are_candidates_whole():
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    values = ["Xk!9dk2lsm4QpZ81", jwt, "https://u:p4ss@host.example/path12345678?q=1", "a$b#c%1234567890x"]
+    for value in values:
+        text = f"id 1234567890123 password = {value} then abcdefghij0123456789"
+        found = secrets.find_candidates(text)
+        assert [(text[a:b], assigned) for a, b, _, _, assigned in found] == [
+            ("1234567890123", False), (value, True), ("abcdefghij0123456789", False)
+        ]
+        assert found[1][2] == "password"
+
+
+def test_uuids_digests_and_timestamps_are_negatives_unless_assigned(make_docs):
+    values = ["123e4567-e89b-12d3-a456-426614174000", "d41d8cd98f00b204e9800998ecf8427e", "2024-05-06T070809Z"]
+    docs = make_docs([f"see {v} here" for v in values] + [f"token = {v}" for v in values])
+    labels = {r.doc_id: r.label for r in secrets.label_findings(secrets.scan(docs)).collect()}
+    assert labels == {0: 0.0, 1: 0.0, 2: 0.0, 3: 1.0, 4: 1.0, 5: 1.0}
