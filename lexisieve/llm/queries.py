@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexisieve.llm import ann, bpe, chat, jaccard, licenses, mixing, passages, quality, secrets, sharding
+from lexisieve.llm import (
+    ann,
+    bpe,
+    chat,
+    jaccard,
+    licenses,
+    mixing,
+    passages,
+    quality,
+    secrets,
+    sharding,
+    trie,
+)
 from lexisieve.llm.common import table
 from lexisieve.session import materialize
 
@@ -122,3 +134,10 @@ def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 def op4_compact_windows(spark: SparkSession, d: str) -> DataFrame:
     """Every passage of 50 words or more that other documents hold too."""
     return passages.repeated_passages(table(spark, d, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of the trie of conversations that share their first turns with a twentieth."""
+    gathered = trie.gather_turns(table(spark, d, "conversations"))
+    return trie.prefix_nodes(trie.shared_starts(gathered))

@@ -100,3 +100,55 @@ FROM split s"""
 
 
 ORACLE["op9_license_scan"] = _license_sql()
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string, unsigned, by the 256 entries ``t`` of ``crc_table``."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ord(c)::UBIGINT)"
+    return (
+        f"xor(list_reduce(list_concat([4294967295::UBIGINT], {codes}),"
+        " lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)"
+    )
+
+
+CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n::UBIGINT], range(8)::UBIGINT[]),
+        lambda c, i: xor(c >> 1, 3988292384::UBIGINT * (c & 1)))) AS t
+)"""
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH {CRC_TABLE}, given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM given
+), conv AS (
+    SELECT conv_id, ({_crc32("conv_id::VARCHAR")} % 4)::BIGINT AS h FROM (SELECT DISTINCT conv_id FROM given), crc_table
+), rebuilt AS (
+    SELECT c.conv_id, p.pos, p.role, p.text FROM conv c JOIN placed p ON p.conv_id = c.conv_id - c.conv_id % 20 AND p.pos <= c.h
+    UNION ALL SELECT c.conv_id, 1000000 + p.pos, p.role, p.text FROM conv c JOIN placed p ON p.conv_id = c.conv_id AND p.pos > c.h
+), turn AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth,
+        sha256(length(role) || ':' || role || text) AS id,
+        len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM rebuilt
+), starts AS (
+    SELECT conv_id, depth, words, string_agg(id, '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM turn
+    UNION ALL SELECT conv_id, 0, 0, '' FROM conv
+), node AS (
+    SELECT key, any_value(depth) AS depth, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs
+    FROM starts GROUP BY key
+), counted AS (
+    SELECT a.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM node b WHERE b.depth = a.depth + 1 AND left(b.key, 64 * a.depth) = a.key) AS n_children
+    FROM node a LEFT JOIN node p ON p.depth = a.depth - 1 AND p.key = left(a.key, 64 * p.depth)
+), above AS (
+    SELECT left(key, 64 * d) AS key, n_children = 0 AS leaf, (n_convs - 1) * words AS saved
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted)
+), whole AS (
+    SELECT key, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved FROM above GROUP BY key
+), ends AS (
+    SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, max_by(key, depth) AS key FROM starts GROUP BY conv_id) GROUP BY key
+)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted JOIN whole USING (key) LEFT JOIN ends USING (key)"""
