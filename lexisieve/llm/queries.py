@@ -10,6 +10,7 @@ from lexisieve.llm import (
     ann,
     bpe,
     chat,
+    inner,
     jaccard,
     licenses,
     mixing,
@@ -141,3 +142,15 @@ def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of the trie of conversations that share their first turns with a twentieth."""
     gathered = trie.gather_turns(table(spark, d, "conversations"))
     return trie.prefix_nodes(trie.shared_starts(gathered))
+
+
+@query
+def op12_norm_sorted_top_k(spark: SparkSession, d: str) -> DataFrame:
+    """Whole-number vectors; queries are rows whose id is divisible by 50, against all rows."""
+    vectors = table(spark, d, "embeddings").select("vec_id", inner.whole(F.col("embedding")).alias("v"))
+    found = inner.top_inner_products(vectors, vectors.filter("vec_id % 50 = 0"), 5, vector_col="v")
+    score = F.col("score")
+    long = (
+        F.when(score >= 2.0**63, F.lit(2**63 - 1)).when(score < -(2.0**63), F.lit(-(2**63))).otherwise(score.cast("bigint"))
+    )
+    return found.withColumn("score", long)

@@ -152,3 +152,15 @@ WITH {CRC_TABLE}, given AS (
 SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
     n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM counted JOIN whole USING (key) LEFT JOIN ends USING (key)"""
+
+
+ORACLE["op12_norm_sorted_top_k"] = """
+WITH v AS (
+    SELECT vec_id, any_value(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id
+), ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
