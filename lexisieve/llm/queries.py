@@ -16,6 +16,7 @@ from lexisieve.llm import (
     mixing,
     passages,
     quality,
+    runs,
     secrets,
     sharding,
     trie,
@@ -154,3 +155,10 @@ def op12_norm_sorted_top_k(spark: SparkSession, d: str) -> DataFrame:
         F.when(score >= 2.0**63, F.lit(2**63 - 1)).when(score < -(2.0**63), F.lit(-(2**63))).otherwise(score.cast("bigint"))
     )
     return found.withColumn("score", long)
+
+
+@query
+def op11_dyadic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which is made periodic."""
+    docs = table(spark, d, "documents")
+    return runs.run_digests(runs.word_runs(docs, rewrite=runs.made_periodic, keep_text=False))
