@@ -25,7 +25,7 @@ from lexisieve.operators import split as S
 from lexisieve.plans import classifier as C
 from lexisieve.plans import report as R
 from lexisieve.plans import workflow as W
-from lexisieve.session import materialize, work_dir
+from lexisieve.session import materialize, store_bucketed, work_dir
 from lexisieve.sources.csv import read_csv
 
 QUERIES = {}
@@ -56,7 +56,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 @query
 def scan_corpus(spark: SparkSession, d: str) -> DataFrame:
-    return V.documents(spark, d)
+    return V.texts(spark, d)
 
 
 @query
@@ -117,8 +117,8 @@ def label_names(spark, d):
 
 @query
 def id_alignment(spark, d):
-    everything, labelled = V.documents(spark, d), V.train(spark, d)
-    aligned = K.id_alignment(V.sample(spark, d), V.test(spark, d))
+    everything, labelled = V.documents(spark, d), V.train_ids(spark, d)
+    aligned = K.id_alignment(V.sample(spark, d), V.test_ids(spark, d))
     return aligned.withColumn("pair", F.lit("sample/test")).unionByName(
         K.id_alignment(everything, labelled).withColumn("pair", F.lit("documents/train"))
     )
@@ -133,7 +133,7 @@ def label_conflicts(spark, d):
 
 @query
 def validate_submission(spark, d):
-    test = V.test(spark, d)
+    test = V.test_ids(spark, d)
     i = F.col("row_idx")
     good = test.select("row_idx", "ID", (i % 3).cast("string").alias("LABEL"))
     bad = test.filter(i % 5 > 0).select(
@@ -187,7 +187,7 @@ def train_test_overlap(spark, d):
 
 @query
 def dedup_keep_first(spark, d):
-    return D.keep_first(V.documents(spark, d))
+    return D.keep_first(V.texts(spark, d))
 
 
 @query
@@ -235,7 +235,7 @@ def unexpected_labels(spark, d):
 
 @query
 def stratified_split(spark, d):
-    return _round(S.with_holdout(V.train(spark, d).select("ID", "row_idx", "LABEL")))
+    return _round(S.with_holdout(V.train_ids(spark, d).select("ID", "row_idx", "LABEL")))
 
 
 @query
@@ -272,7 +272,7 @@ def id_report(spark, d):
     some = V.sample(spark, d).filter(i % 7 > 0).withColumn(
         "ID", F.when(i % 10 == 3, F.concat(F.lit("x"), "ID")).otherwise(F.col("ID"))
     )
-    return R.id_report(V.train(spark, d), V.test(spark, d), some)
+    return R.id_report(V.train_ids(spark, d), V.test_ids(spark, d), some)
 
 
 @query
@@ -318,14 +318,14 @@ def _step(spark, d, steps, out):
 
 @query
 def html_text(spark, d):
-    pages = V.table(spark, d, "pages").select("page_id", "html")
+    pages = V.pages(spark, d)
     steps = [N.text_or_empty, N.unescape_html, N.strip_tags]
     return N.with_steps(pages, "html", "html_text", steps).select("page_id", "html_text")
 
 
 @query
 def page_base_text(spark, d):
-    pages = V.table(spark, d, "pages").select("page_id", "html")
+    pages = V.pages(spark, d)
     return N.with_base_text(pages, "html").select("page_id", "base_text")
 
 
@@ -423,13 +423,13 @@ def _occurrences(grams: DataFrame) -> DataFrame:
 
 @query
 def word_ngrams(spark, d):
-    tokens = V.documents(spark, d).select(T.word_tokens(F.col("TEXT")).alias("w"))
+    tokens = V.texts(spark, d).select(T.word_tokens(F.col("TEXT")).alias("w"))
     return _occurrences(tokens.select(T.word_ngrams(F.col("w"), 1, 3).alias("grams")))
 
 
 @query
 def char_ngrams(spark, d):
-    return _occurrences(V.documents(spark, d).select(T.char_ngrams(F.col("TEXT"), 3, 6).alias("grams")))
+    return _occurrences(V.texts(spark, d).select(T.char_ngrams(F.col("TEXT"), 3, 6).alias("grams")))
 
 
 def _terms(df: DataFrame, **ranges) -> DataFrame:
@@ -453,7 +453,7 @@ def _vocab(df: DataFrame, counts: DataFrame, char_min_df: int = 3) -> DataFrame:
 
 
 def _corpus(spark, d) -> DataFrame:
-    return V.documents(spark, d).select("row_idx", "TEXT")
+    return V.texts(spark, d).select("row_idx", "TEXT")
 
 
 @query
@@ -560,7 +560,7 @@ def linear_score(spark, d):
 def _judged(spark, d) -> DataFrame:
     """Labels with a rule's predictions: mostly right, some one label off."""
     label, i = F.col("LABEL"), F.col("row_idx")
-    return V.train(spark, d).select(
+    return V.train_ids(spark, d).select(
         "LABEL", F.when(i % 7 == 0, (label + 1) % 3).when(i % 11 == 0, 0).otherwise(label).alias("pred")
     )
 
@@ -588,7 +588,9 @@ def _formula_stage(docs: DataFrame, config: X.StageConfig) -> C.StageModel:
     text_col = "negation_text" if config.negation else "clean_text"
     counts = _counts(X.stage_terms(docs, config, text_col))
     vocab = materialize(X.stage_vocabulary(counts, _n(docs), config))
-    terms = vocab.withColumn("weight", ((F.length("term") * 7) % 5 - 2) / 10.0)
+    terms = store_bucketed(
+        vocab.withColumn("weight", ((F.length("term") * 7) % 5 - 2) / 10.0), C.TERM_KEY
+    )
     scale = X.surface_scale(docs).first().asDict()
     surface = {name: (top, 0.05 * (i - 4) * config.surface) for i, (name, top) in enumerate(scale.items())}
     return C.StageModel(config, terms, surface, 0.1)

@@ -24,11 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their texts."""
     return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("ID"), F.col("doc_id").alias("row_idx")
+    )
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with texts, dealt out by number.
+
+    The given files hold one row group each, which one task reads; text work is dear, so its
+    rows are spread before it, over as many partitions as any other shuffle has.
+    """
+    rows = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("ID"),
         F.col("doc_id").alias("row_idx"),
         F.col("text").alias("TEXT"),
     )
+    return _dealt(rows, "row_idx")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dealt(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+
+
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,24 +59,32 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir).join(labels(spark, sf_dir), "row_idx")
+
+
+def train_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).join(labels(spark, sf_dir), "row_idx")
 
 
 def test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir).join(labels(spark, sf_dir), "row_idx", "left_anti")
+
+
+def test_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).join(labels(spark, sf_dir), "row_idx", "left_anti")
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return test(spark, sf_dir).select("ID", "row_idx", F.lit(0).alias("LABEL"))
+    return test_ids(spark, sf_dir).select("ID", "row_idx", F.lit(0).alias("LABEL"))
 
 
 def conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).withColumn("LABEL", (F.col("row_idx") % 3).cast("int"))
+    return texts(spark, sf_dir).withColumn("LABEL", (F.col("row_idx") % 3).cast("int"))
 
 
 def decor(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffix = F.get(F.array(*[F.lit(s) for s in SUFFIXES]), (F.col("row_idx") % 8).cast("int"))
-    return documents(spark, sf_dir).withColumn(
+    return texts(spark, sf_dir).withColumn(
         "TEXT",
         F.when(F.col("row_idx") % 97 == 5, F.lit(None))
         .when(F.col("row_idx") % 89 == 7, F.lit("  "))

@@ -7,6 +7,7 @@ and count every word and Unicode capitals. They share no definition.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -50,7 +51,7 @@ def report_measures(text: Column) -> dict[str, Column]:
 @lru_cache(maxsize=1)
 def _unusual_digits() -> str:
     """Class of the digits that Unicode files under other numbers."""
-    chars = (chr(point) for point in range(0x20000))
+    chars = (chr(point) for point in range(sys.maxunicode + 1))
     return "".join(
         rf"\x{{{ord(c):x}}}" for c in chars if c.isdigit() and unicodedata.category(c) == "No"
     )

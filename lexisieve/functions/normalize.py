@@ -5,14 +5,15 @@ Single steps are ``Column -> Column``. The chains (`with_base_text`,
 projection, so an expression that a later step reads more than once is
 evaluated once (Catalyst merges only the projections where that is free).
 
-Only HTML entities and Unicode NFKC have no Spark expression. They run in Arrow
-batches, and a native test in front sends nothing but nulls for the rows that
-cannot change.
+Only Unicode NFKC has no Spark expression. It runs in Arrow batches, and a native test
+in front sends nothing but nulls for the rows that cannot change.
 """
 
 from __future__ import annotations
 
 import html
+import html.entities
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -146,7 +147,7 @@ _FOLDED = (
 def _late_folds() -> tuple[dict[str, str], dict[str, str]]:
     """Folds that lower-casing leaves undone: one-to-one and one-to-many."""
     single, several = {}, {}
-    for point in range(0x20000):
+    for point in range(sys.maxunicode + 1):
         char = chr(point)
         folded = char.casefold()
         if folded != char and char.lower() == char:
@@ -187,11 +188,6 @@ def key_digest(key: Column) -> Column:
 # --- markup and Unicode -----------------------------------------------------
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 @F.pandas_udf(T.StringType())
 def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: unicodedata.normalize("NFKC", text), na_action="ignore")
@@ -206,9 +202,63 @@ _NFKC_STABLE = (
 )
 
 
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@lru_cache(maxsize=1)
+def _entity_names() -> tuple[dict[str, dict[str, str]], list[str]]:
+    """What each name stands for, by its first character, and the names that need no semicolon."""
+    by_first: dict[str, dict[str, str]] = {}
+    for name, text in html.entities.html5.items():
+        by_first.setdefault(name[0], {})[name] = text
+    bare = [name for name in html.entities.html5 if not name.endswith(";")]
+    return by_first, sorted(bare, key=lambda name: (-len(name), name))
+
+
+@lru_cache(maxsize=1)
+def _low_references() -> dict[str, str]:
+    """What numbers below 160 stand for, where that is not the character itself."""
+    points = {str(point): html.unescape(f"&#{point};") for point in range(160)}
+    return {point: text for point, text in points.items() if text != chr(int(point))}
+
+
+def _named_reference(hit: Column) -> Column:
+    """The whole name if it is known, else its longest start that needs no semicolon."""
+    by_first, bare = _entity_names()
+    name = F.substring(hit, 2, 34)
+    names = F.create_map(*[part for first, known in by_first.items() for part in (F.lit(first), lookup(known))])
+    start = F.regexp_extract(hit, f"^&({'|'.join(bare)})", 1)
+    known = names[F.substring(name, 1, 1)]
+    rest = F.substring(hit, F.length(start) + 2, F.length(hit))
+    return F.coalesce(
+        known[name], F.when(start != "", F.concat(known[start], rest)), hit
+    )
+
+
+def _numbered_reference(hit: Column) -> Column:
+    """The character of a decimal or hexadecimal number."""
+    found = F.regexp_extract(hit, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    digits = F.when(found == "", "0").otherwise(found)
+    number = F.when(hit.rlike("^&#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.try_cast("bigint"))
+    # more than eight digits are beyond the last character in both notations
+    point = F.when(F.length(digits) > 8, sys.maxunicode + 1).otherwise(number)
+    nothing = point.between(0xFDD0, 0xFDEF) | (F.pmod(point, F.lit(0x10000)) >= 0xFFFE)
+    character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    return (
+        F.when((point > sys.maxunicode) | point.between(0xD800, 0xDFFF), "\ufffd")
+        .when(nothing, "")
+        .otherwise(F.coalesce(lookup(_low_references())[point.cast("string")], character))
+    )
+
+
 def unescape_html(col: Column) -> Column:
-    """One level of HTML entities."""
-    return F.coalesce(_unescape_batch(F.when(col.rlike("&[#A-Za-z]"), col)), col)
+    """One level of HTML entities, as HTML 5 reads them: a known name, else its longest known start."""
+    resolved = replace_computed(
+        col,
+        _REFERENCE,
+        lambda hit: F.when(F.startswith(hit, F.lit("&#")), _numbered_reference(hit)).otherwise(_named_reference(hit)),
+    )
+    return F.when(col.contains("&"), resolved).otherwise(col)
 
 
 def nfkc(col: Column) -> Column:
@@ -276,7 +326,7 @@ def expand_other_negations(col: Column) -> Column:
 @lru_cache(maxsize=1)
 def _other_digits() -> tuple[str, str]:
     """Decimal digits of other scripts and their ASCII digits."""
-    chars = [chr(p) for p in range(0x80, 0x20000) if unicodedata.category(chr(p)) == "Nd"]
+    chars = [chr(p) for p in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(p)) == "Nd"]
     return "".join(chars), "".join(str(unicodedata.decimal(char)) for char in chars)
 
 

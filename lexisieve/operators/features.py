@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 from lexisieve.functions.measures import SURFACE_FEATURES, surface_features
 from lexisieve.functions.tokens import char_ngrams, with_term_counts, word_ngrams, word_tokens
-from lexisieve.operators.skew import join_by_weight
+from lexisieve.operators.skew import join_listed
+from lexisieve.session import materialize
 
 WORD, CHAR, SURFACE = "word", "char", "surface"
 
@@ -109,21 +110,13 @@ def weigh(
 ) -> DataFrame:
     """``x = (1 + ln tf) * idf`` for known terms; unknown ones drop out.
 
-    Frequent terms hold a large part of all rows; their rows are split. What is frequent is
-    counted in ``terms`` themselves (``counts``, their `document_frequency`), not in the
-    documents the vocabulary was fitted on, and rows of frequent terms that the vocabulary
-    lacks are dropped before the shuffle.
+    Frequent terms hold a large part of all rows; those rows are not shuffled. What is frequent is
+    counted in ``terms`` themselves (``counts``, their `document_frequency` as a written table;
+    it is made here if there is none), not in the documents the vocabulary was fitted on, and
+    rows of frequent terms that the vocabulary lacks are dropped before the shuffle.
     """
-    counts = document_frequency(terms) if counts is None else counts
-    known = vocab.drop("df").withColumn("_known", F.lit(True))
-    dim = (
-        counts.withColumnRenamed("df", "_rows")
-        .join(known, ["branch", "term"], "left")
-        .withColumn("_known", F.col("_known").isNotNull())
-    )
-    joined = join_by_weight(
-        terms, dim, ["branch", "term"], "_rows", F.col(doc_col), keep="_known"
-    ).drop("_rows")
+    counts = materialize(document_frequency(terms)) if counts is None else counts
+    joined = join_listed(terms, vocab.drop("df"), ["branch", "term"], counts, "df")
     return joined.withColumn("x", (F.log("tf") + 1) * F.col("idf"))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexisieve.session import materialize
+
 SLICES = 1000
 
 
@@ -56,6 +58,21 @@ def join_by_weight(
     return joined.drop("_slice", "_copies", "_kept", *([keep] if keep else []))
 
 
+def join_listed(facts: DataFrame, dim: DataFrame, keys: list[str], weights: DataFrame, weight: str) -> DataFrame:
+    """Inner join of ``facts`` with one ``dim`` row per key, where ``dim`` lists few of their keys.
+
+    ``weights`` is a written table with each key's number of fact rows. Keys that hold at
+    least 1/1000 of all rows are hot, and there are at most 1000 of those: their ``dim`` rows
+    are broadcast, so hot facts are not shuffled at all. The others meet ``dim`` as it is, so
+    a table that is stored bucketed by ``keys`` is not shuffled either.
+    """
+    total = weights.agg(F.sum(weight)).scalar()
+    hot = materialize(weights.filter(F.col(weight) * SLICES >= total).select(*keys))
+    hot_dim = dim.join(F.broadcast(hot), keys)
+    cold = facts.join(F.broadcast(hot), keys, "left_anti").join(dim, keys)
+    return cold.unionByName(facts.join(F.broadcast(hot_dim), keys))
+
+
 def with_dense_index(df: DataFrame, keys: list[str], out: str, buckets: int = 4096) -> DataFrame:
     """Number unique ``keys`` 0..n-1 without a global sort.
 

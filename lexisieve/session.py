@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -55,3 +56,43 @@ def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def _bucket_name(path: str) -> str:
+    return "lexisieve_" + hashlib.sha256(path.encode()).hexdigest()[:32]
+
+
+def store_bucketed(df: DataFrame, keys: list[str], path: str | None = None) -> DataFrame:
+    """Write ``df`` once, hashed and sorted by ``keys``, so joins on them do not shuffle it again.
+
+    The files lie in ``path`` (default: a new one in the shared folder); the session's catalog
+    knows them as an external table.
+    """
+    spark = df.sparkSession
+    path = path or f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = _bucket_name(f"{path}-{uuid.uuid4().hex}")
+    # one task for each bucket, so there is one file for each
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .mode("overwrite")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
+def attach_bucketed(spark: SparkSession, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table that `store_bucketed` wrote into ``buckets`` buckets, perhaps in another session."""
+    name = _bucket_name(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    by = ", ".join(f"`{key}`" for key in keys)
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by})"
+        f" INTO {buckets} BUCKETS LOCATION '{quoted}'"
+    )
+    return spark.table(name)

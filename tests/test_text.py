@@ -1,3 +1,5 @@
+import html
+import html.entities
 import random
 import re
 import unicodedata
@@ -208,3 +210,20 @@ def test_word_ngrams_and_counts(spark):
 def test_whitespace_collapse_is_idempotent(spark):
     once = run(spark, [" a \t\n b ", "x", ""], [N.collapse_space])
     assert run(spark, once, [N.collapse_space]) == once
+
+
+def test_entities_equal_html5_without_python(spark):
+    """Every name with and without its semicolon, numbers of all kinds, and what is no reference."""
+    texts = []
+    for name in html.entities.html5:
+        bare = name.rstrip(";")
+        texts += [f"x &{bare}; y &{bare} z", f"&{bare}xyz;", f"&{bare}=1"]
+    points = [*range(400), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFE, 0x10000, 0x1FFFE, 0x10FFFF]
+    for point in [*points, 0x110000, 10**9, 10**12, 2**64 + 65]:
+        texts += [f"&#{point};", f"&#{point}", f"&#x{point:x};", f"&#X{point:X}g", f"&#{point:030};"]
+    texts += ["&", "&&amp;", "&amp;amp;", "&#;", "&#x;", "& amp;", "a&b<c&notit;", "&" + "a" * 40 + ";", "&amp" * 30, ""]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "x string")
+    read = df.select("x", N.unescape_html(F.col("x")).alias("y"))
+    assert "Python" not in read._jdf.queryExecution().toString()
+    for row in read.collect():
+        assert row.y == (None if row.x is None else html.unescape(row.x)), row.x

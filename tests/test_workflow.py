@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexisieve.operators.contracts import ContractError
+from lexisieve.operators.features import document_frequency, weigh
 from lexisieve.plans import classifier as C
 from lexisieve.plans import workflow as W
+from lexisieve.session import materialize
 from lexisieve.sources.csv import read_csv, read_inputs
 
 TOPICS = {
@@ -99,10 +101,27 @@ def test_train_and_submit(spark, root, tmp_path):
     assert right >= 25 and labels["t30"] == labels["t4"]
 
     model = C.load(spark, str(tmp_path / "model"))
+    assert_scoring_leaves_the_model_in_place(spark, model.stage1)
     again = W.predict_submission(tables[1], model)
     assert {r.ID: r.LABEL for r in again.collect()} == labels
 
 
+def assert_scoring_leaves_the_model_in_place(spark, stage):
+    """No exchange above the scan of a stored model, also when nothing is small enough to broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        terms = materialize(spark.createDataFrame([(1, "word", "film", 2)], "row_idx long, branch string, term string, tf int"))
+        counts = materialize(document_frequency(terms))
+        plan = weigh(terms, stage.terms, counts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = plan.split("\n")
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line]
+    sorted_side = lines[scans[0] - 4 : scans[0]]
+    assert scans and "SortMergeJoin" in plan and not any("Exchange" in line for line in sorted_side), plan
+
+
 def test_scoring_matches_training_space(spark, root):
     """Margins from the term table equal the dot product in the fitted vector space."""
     folder, _, _ = root
