@@ -441,8 +441,13 @@ def _n(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def _counts(terms: DataFrame) -> DataFrame:
-    return materialize(X.document_frequency(terms))
+def _counts(terms: DataFrame, min_df: dict[str, int] | None = None) -> DataFrame:
+    return materialize(X.document_frequency(terms, min_df))
+
+
+def _term_counts(docs: DataFrame, min_df: dict[str, int], **ranges) -> DataFrame:
+    """In how many documents terms occur that reach ``min_df``; the texts are read twice."""
+    return _counts(X.distinct_terms(docs, ranges, "TEXT"), min_df)
 
 
 def _vocab(df: DataFrame, counts: DataFrame, char_min_df: int = 3) -> DataFrame:
@@ -459,26 +464,25 @@ def _corpus(spark, d) -> DataFrame:
 @query
 def doc_freq_word(spark, d):
     docs = _corpus(spark, d)
-    return _vocab(docs, _counts(X.document_terms(docs, {"word": (1, 2)}, "TEXT"))).select("term", "df")
+    return _vocab(docs, _term_counts(docs, {"word": 2}, word=(1, 2))).select("term", "df")
 
 
 @query
 def doc_freq_char(spark, d):
     docs = _corpus(spark, d)
-    return _vocab(docs, _counts(X.document_terms(docs, {"char": (3, 5)}, "TEXT"))).select("term", "df")
+    return _vocab(docs, _term_counts(docs, {"char": 3}, char=(3, 5))).select("term", "df")
 
 
 @query
 def doc_freq_char_stage2(spark, d):
     docs = _corpus(spark, d)
-    counts = _counts(X.document_terms(docs, {"char": (3, 6)}, "TEXT"))
-    return _vocab(docs, counts, 2).select("term", "df")
+    return _vocab(docs, _term_counts(docs, {"char": 2}, char=(3, 6)), 2).select("term", "df")
 
 
 @query
 def idf_word(spark, d):
     docs = _corpus(spark, d)
-    return _round(_vocab(docs, _counts(X.document_terms(docs, {"word": (1, 2)}, "TEXT"))).select("term", "idf"))
+    return _round(_vocab(docs, _term_counts(docs, {"word": 2}, word=(1, 2))).select("term", "idf"))
 
 
 @query
@@ -518,7 +522,7 @@ def tfidf_char(spark, d):
 @query
 def tfidf_transform(spark, d):
     train, test = V.train(spark, d), V.test(spark, d)
-    vocab = _vocab(train, _counts(X.document_terms(train, {"word": (1, 2)}, "TEXT")))
+    vocab = _vocab(train, _term_counts(train, {"word": 2}, word=(1, 2)))
     return _round(X.tfidf(_terms(test, word=(1, 2)), vocab).drop("branch"), 4)
 
 
@@ -586,7 +590,7 @@ def overall_metrics(spark, d):
 def _formula_stage(docs: DataFrame, config: X.StageConfig) -> C.StageModel:
     """A stage whose vocabulary and scales come from ``docs`` and whose weights from a formula."""
     text_col = "negation_text" if config.negation else "clean_text"
-    counts = _counts(X.stage_terms(docs, config, text_col))
+    counts = _counts(X.stage_distinct_terms(docs, config, text_col), config.min_df)
     vocab = materialize(X.stage_vocabulary(counts, _n(docs), config))
     terms = store_bucketed(
         vocab.withColumn("weight", ((F.length("term") * 7) % 5 - 2) / 10.0), C.TERM_KEY

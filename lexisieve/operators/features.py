@@ -6,8 +6,12 @@ list, so it may be as large as the corpus makes it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +22,8 @@ from lexisieve.operators.skew import join_listed
 from lexisieve.session import materialize
 
 WORD, CHAR, SURFACE = "word", "char", "surface"
+# Buckets a branch has in the first pass over terms, and buckets a shuffled page holds.
+BUCKET_BITS, PAGE = 24, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -34,6 +40,10 @@ class StageConfig:
     word_min_df: int = 2
     word_max_df: float = 0.95
 
+    @property
+    def min_df(self) -> dict[str, int]:
+        return {WORD: self.word_min_df, CHAR: self.char_min_df}
+
 
 # --- fixed values -----------------------------------------------------------
 
@@ -83,9 +93,104 @@ def document_terms(
     return df.select(doc_col, F.inline(F.concat(*tagged)))
 
 
-def document_frequency(terms: DataFrame) -> DataFrame:
-    """Documents per term; a term occurs once per document in ``terms``."""
-    return terms.groupBy("branch", "term").agg(F.count("*").alias("df"))
+def distinct_terms(
+    docs: DataFrame, ranges: dict[str, tuple[int, int]], text_col: str = "clean_text"
+) -> DataFrame:
+    """``(branch, term)`` with each term of a document once, where only documents are counted."""
+    text = F.col(text_col)
+    grams = {
+        branch: word_ngrams(word_tokens(text), low, high) if branch == WORD else char_ngrams(text, low, high)
+        for branch, (low, high) in ranges.items()
+    }
+    frames = [
+        docs.select(F.lit(branch).alias("branch"), F.explode(F.array_distinct(column)).alias("term"))
+        for branch, column in grams.items()
+    ]
+    return reduce(DataFrame.unionAll, frames)
+
+
+def without_rare(terms: DataFrame, min_df: dict[str, int], bits: int = BUCKET_BITS) -> DataFrame:
+    """``(branch, term)`` rows without most of those that occur in fewer than ``min_df`` documents.
+
+    A first pass counts hash buckets of terms instead of terms: a table of ``2**bits`` small
+    numbers for each branch and task, shuffled in pages. A bucket whose total stays below
+    ``min_df`` holds no term that reaches it, so its rows go before anything is shuffled by
+    term. Rare terms that share a bucket with others stay, so counts of all terms that reach
+    ``min_df`` are exact. What is broadcast is one bit a bucket, whatever the corpus.
+    """
+    branches = sorted(min_df)
+    first = F.lit(None).cast("int")
+    for i, branch in enumerate(branches):
+        first = F.when(F.col("branch") == branch, i << bits).otherwise(first)
+    bucket = first + (F.xxhash64("term").bitwiseAND(F.lit((1 << bits) - 1))).cast("int")
+    least = [min_df[branch] for branch in branches]
+    page_size = min(PAGE, 1 << bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(branches) << bits, np.uint8)
+        for batch in batches:
+            at, n = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
+            seen[at] = np.minimum(seen[at] + n, 255)
+        pages = seen.reshape(-1, page_size)
+        for page in np.flatnonzero(pages.any(axis=1)):
+            yield pa.record_batch([pa.array([page]), pa.array([pages[page].tobytes()])], names=["page", "seen"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages arrive in order, one for each task that counted; one sum is held at a time."""
+
+        def bit_page(page: int, total: np.ndarray) -> pa.RecordBatch:
+            kept = total >= least[page * page_size >> bits]
+            words = np.packbits(kept, bitorder="little").view(np.int64)
+            return pa.record_batch(
+                [pa.array([page]), pa.array([words.tolist()], pa.list_(pa.int64()))], names=["page", "bits"]
+            )
+
+        page, total = None, None
+        for batch in batches:
+            for number, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number != page:
+                    if page is not None:
+                        yield bit_page(page, total)
+                    page, total = number, np.zeros(page_size, np.int64)
+                total += np.frombuffer(seen, np.uint8)
+        if page is not None:
+            yield bit_page(page, total)
+
+    hashed = terms.select(bucket.alias("bucket")).filter(F.col("bucket").isNotNull())
+    kept = materialize(
+        hashed.mapInArrow(count, "page bigint, seen binary")
+        .repartition("page")
+        .sortWithinPartitions("page")
+        .mapInArrow(merge, "page bigint, bits array<bigint>")
+    )
+    at = F.col("_bucket")
+    word = F.get("bits", F.shiftright(at.bitwiseAND(page_size - 1), 6))
+    return (
+        terms.withColumn("_bucket", bucket)
+        .withColumn("page", F.floor(at / page_size))
+        .join(F.broadcast(kept), "page")
+        .filter(F.getbit(word, at.bitwiseAND(63)) == 1)
+        .drop("page", "bits", "_bucket")
+    )
+
+
+def document_frequency(terms: DataFrame, min_df: dict[str, int] | None = None) -> DataFrame:
+    """Documents per term; a term occurs once per document in ``terms``.
+
+    With ``min_df`` (documents, for each branch) terms below it are left out, most of them
+    before the shuffle; ``terms`` are then read twice.
+    """
+    if min_df is None:
+        return terms.groupBy("branch", "term").agg(F.count("*").alias("df"))
+    counts = document_frequency(without_rare(terms.select("branch", "term"), min_df))
+    return counts.filter(_reaches(min_df))
+
+
+def _reaches(min_df: dict[str, int]) -> Column:
+    kept = F.lit(True)
+    for branch, low in min_df.items():
+        kept = kept & ((F.col("branch") != branch) | (F.col("df") >= low))
+    return kept
 
 
 def vocabulary(
@@ -97,9 +202,7 @@ def vocabulary(
     of them; a branch without an entry has no limit. IDF is smoothed:
     ``ln((1 + n) / (1 + df)) + 1``.
     """
-    kept = F.lit(True)
-    for branch, low in min_df.items():
-        kept = kept & ((F.col("branch") != branch) | (F.col("df") >= low))
+    kept = _reaches(min_df)
     for branch, share in max_df.items():
         kept = kept & ((F.col("branch") != branch) | (F.col("df") <= n_docs * F.lit(share)))
     return counts.filter(kept).withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1)
@@ -138,13 +241,12 @@ def stage_terms(
     return document_terms(docs, {WORD: config.word, CHAR: config.char}, text_col, doc_col)
 
 
+def stage_distinct_terms(docs: DataFrame, config: StageConfig, text_col: str = "clean_text") -> DataFrame:
+    return distinct_terms(docs, {WORD: config.word, CHAR: config.char}, text_col)
+
+
 def stage_vocabulary(counts: DataFrame, n_docs: Column, config: StageConfig) -> DataFrame:
-    return vocabulary(
-        counts,
-        n_docs,
-        min_df={WORD: config.word_min_df, CHAR: config.char_min_df},
-        max_df={WORD: config.word_max_df},
-    )
+    return vocabulary(counts, n_docs, min_df=config.min_df, max_df={WORD: config.word_max_df})
 
 
 def surface_scale(docs: DataFrame, base_col: str = "base_text") -> DataFrame:
