@@ -1,9 +1,12 @@
 """Sharding: contiguous shards of ordered groups with the smallest possible largest shard.
 
 Groups are all rows of equal text and are never cut. They stand in the order of their
-text's SHA-256. The smallest capacity for which greedy filling needs no more than the
-given number of shards is found by binary search; the cuts are where the greedy filling
-under that capacity makes them.
+text's SHA-256. A shard holds groups up to a capacity, or one group that is larger. The
+smallest capacity for which greedy filling needs no more than the given number of shards is
+found by binary search; the cuts are where the greedy filling under that capacity makes
+them. As a group larger than the capacity stands alone, it does not raise what the other
+shards may hold; no way of cutting has a smaller largest shard. Where greedy filling leaves
+shards over, the largest shards of several groups are halved until none is empty.
 
 No list of groups reaches the driver. It holds a partition of the digest space into
 ranges with their byte sums, at first 4096 of them. Filling is simulated on ranges, so a
@@ -16,9 +19,9 @@ time, so a round splits at most 33 ranges per shard, into at most 256 parts each
 Native: DataFrame functions only; the driver does arithmetic on range sums.
 
 Defined results: null text counts as a group of its own, apart from empty text; empty
-tables give an empty result; repeated rows are rows of the same group; a single group
-larger than the rest sets the capacity; with fewer groups than shards some shards are
-empty; other columns are not looked at.
+tables give an empty result; repeated rows are rows of the same group, and equal ones are
+numbered together; with fewer groups than shards some shards are empty; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -82,28 +85,41 @@ def _fill(
     """Greedy filling: ``(fits, first range after each cut, ranges to look closer at)``.
 
     Of a range with several groups that does not fit whole, the careful filling takes
-    nothing and the hopeful one as much as there is room for. The truth is between them.
+    nothing and the hopeful one as much as there is room for, or all of it with one more
+    shard if one of its groups may stand alone. The truth is between them.
     """
-    filled, cuts, inside = 0, [], set()
-    for _ in range(shards):
+    used, filled, cuts, inside = 0, 0, [], set()
+    while not ends or filled < ends[-1]:
+        used += 1
         i = bisect_right(ends, filled + capacity)
+        if used > shards:
+            return False, cuts, inside
         if i == len(ranges):
             return True, cuts, inside
-        if ranges[i].groups > 1:
+        here, start = ranges[i], ends[i - 1] if i else 0
+        if here.groups > 1:
             inside.add(i)
-        start = ends[i - 1] if i else 0
-        if hopeful and ranges[i].groups > 1:
-            filled += capacity
-        elif start <= filled:
-            return False, cuts, inside
+            if here.largest > capacity:
+                if not hopeful:
+                    return False, cuts, inside
+                used += start > filled
+                filled, i = ends[i], i + 1
+            elif hopeful:
+                filled += capacity
+            elif start <= filled:
+                return False, cuts, inside
+            else:
+                filled = start
+        elif start <= filled:  # larger than the capacity: alone
+            filled, i = ends[i], i + 1
         else:
             filled = start
         cuts.append(i)
-    return False, cuts, inside
+    return used <= shards, cuts[:-1], inside
 
 
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
-    """The smallest capacity, and for each cut the digest prefix that starts the next shard.
+    """The largest shard's size, and for each cut the digest prefix that starts the next shard.
 
     ``groups`` is ``(digest, total)``, one row per group.
     """
@@ -111,8 +127,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
     if not ranges:
         return 0, []
     total = sum(r.total for r in ranges)
-    too_small = max(max(r.largest for r in ranges), -(-total // shards)) - 1
-    enough = total
+    too_small, enough = -1, total
     while True:
         ends = _ends(ranges)
         undecided: list[int] = []
@@ -139,17 +154,35 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
                 closer |= _fill(ranges, ends, capacity, shards, hopeful)[2]
         if not closer:
             cuts = _fill(ranges, ends, enough, shards, hopeful=False)[1]
-            return enough, [ranges[i].prefix for i in cuts]
+            return max(enough, *(r.largest for r in ranges)), _no_empty_shard(groups, ranges, cuts, shards)
         ranges = _split(groups, ranges, closer)
 
 
+def _no_empty_shard(groups: DataFrame, ranges: list[Range], cuts: list[int], shards: int) -> list[str]:
+    """Starts of shards after halving the largest ones of several groups while shards are left over."""
+    starts = [ranges[i].prefix for i in cuts]
+    while len(starts) + 1 < shards:
+        edges = [0, *(next(i for i, r in enumerate(ranges) if r.prefix >= s) for s in starts), len(ranges)]
+        parts = [(a, b) for a, b in zip(edges, edges[1:]) if sum(r.groups for r in ranges[a:b]) > 1]
+        if not parts:
+            break
+        a, b = max(parts, key=lambda part: sum(r.total for r in ranges[part[0] : part[1]]))
+        if b - a == 1:
+            ranges = _split(groups, ranges, {a})
+            continue
+        ends = [0, *_ends(ranges[a:b])]
+        middle = min(range(1, b - a), key=lambda i: abs(2 * ends[i] - ends[-1]))
+        starts = sorted([*starts, ranges[a + middle].prefix])
+    return starts
+
+
 def shard_documents(
     docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, size, digest, text_crc32, shard, slot`` for every row.
 
-    Slots run from 0 without gaps in each shard. They are counted in buckets of the id's
-    hash, of which there are a fixed number per shard, so no task numbers a whole shard.
+    Slots run from 0 without gaps in each shard. They are counted in buckets by a hash of id
+    and text, of which there are a fixed number per shard, so no task numbers a whole shard.
     """
     binary = F.col(text_col).cast("binary")
     rows = materialize(
@@ -163,21 +196,27 @@ def shard_documents(
     groups = materialize(rows.groupBy("digest").agg(F.sum("size").alias("total")))
     bounds = minimax_cuts(groups, shards)[1]
     shard = sum((F.when(F.col("digest") >= b, 1).otherwise(0) for b in bounds), F.lit(0))
-    placed = rows.withColumn("shard", shard).withColumn(
-        "_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(SLOT_BUCKETS))
+    # rows of one id and text are one here, however many there are
+    columns = ("doc_id", "size", "digest", "text_crc32")
+    placed = (
+        rows.groupBy(*columns)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("shard", shard)
+        .withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SLOT_BUCKETS)))
     )
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("shard", "_bucket")
-        .count()
-        .select("shard", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+        .agg(F.sum("_n").alias("_n"))
+        .select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("shard", "_bucket").orderBy("doc_id", "digest")
+    inside = Window.partitionBy("shard", "_bucket").orderBy("doc_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        placed.withColumn("_place", F.row_number().over(inside) - 1)
+        placed.withColumn("_place", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), ["shard", "_bucket"])  # at most shards * SLOT_BUCKETS rows
+        .withColumn("_again", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
         .select(
-            "doc_id", "size", "digest", "text_crc32", "shard",
-            (F.col("_offset") + F.col("_place")).cast("bigint").alias("slot"),
+            *columns, "shard",
+            (F.col("_offset") + F.col("_place") + F.col("_again")).cast("bigint").alias("slot"),
         )
     )
