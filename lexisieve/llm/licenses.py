@@ -1,9 +1,10 @@
 """License scan: an exact containment join of text blocks with license templates.
 
 A block is a run of words; a template is met when at least ``threshold`` of its distinct
-words occur in the block, of templates below ten words all of them. Templates up to 32 words are looked for in blocks of 64 words
-that start every 32, longer ones in blocks of 512 that start every 256, so that every
-run of words as long as a template lies within a block.
+words occur in the block, of templates below ten words all of them. Blocks have twice as
+many words as a template, rounded up to a power of two (64 at least), or fewer at the end
+of a text. Every block that starts with a template's word is looked at; any other block
+holds no more of a template than the next one that does.
 
 The join: words are ordered by how many documents hold them, rare ones first, counted
 over all documents. Of a template's words in that order, one of the first
@@ -175,7 +176,8 @@ def prefix_table(spark: SparkSession, chosen: list[Template], order: dict[str, i
 
 
 def license_blocks(scanned: DataFrame, chosen: list[Template]) -> DataFrame:
-    """Every block that meets a template: ``doc_id, template, label, start, end, containment``.
+    """Every block that starts with a word of a template it meets: ``doc_id, template, label, start,
+    end, containment``.
 
     ``start`` and ``end`` bound the block in words.
     """
@@ -185,30 +187,29 @@ def license_blocks(scanned: DataFrame, chosen: list[Template]) -> DataFrame:
     if not vocabulary:
         vocabulary = [""]
     ranked_vocabulary = F.array(*map(F.lit, vocabulary))
-    sizes = sorted({block_size(t) for t in chosen})
-    starts = [
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(size // 2)),
-            lambda s: F.struct(s.alias("start"), F.lit(size).alias("block")),
-        )
-        for size in sizes
-    ]
+    every = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)))
+    starts = []
+    for size in sorted({block_size(t) for t in chosen}):
+        theirs = sorted({w for t in chosen if block_size(t) == size for w in t.words})
+        places = F.filter(every, lambda i: F.get("words", i).isin(theirs))  # noqa: B023
+        starts.append(F.transform(places, lambda i: F.struct(i.alias("start"), F.lit(size).alias("block"))))  # noqa: B023
     blocks = (
         scanned.filter("words IS NOT NULL")
         .select("doc_id", "words", F.inline(F.concat(*starts)))
+        .withColumn("first", F.get("words", F.col("start")))
         # the vocabulary is in global order, and an intersection keeps the left side's order
         .withColumn(
             "tokens",
             F.array_intersect(ranked_vocabulary, F.slice("words", F.col("start") + 1, F.col("block"))),
         )
         .withColumn("end", F.least(F.col("start") + F.col("block"), F.size("words")))
-        .select("doc_id", "start", "end", "block", "tokens")
+        .select("doc_id", "start", "end", "block", "first", "tokens")
     )
     prefixes = prefix_table(spark, chosen, order)
     hits = (
         blocks.select("*", F.posexplode("tokens").alias("b_at", "word"))
         .join(F.broadcast(prefixes), ["word", "block"])  # bounded by the templates
-        .filter(F.size("tokens") >= F.col("need"))
+        .filter((F.size("tokens") >= F.col("need")) & F.array_contains("t_words", F.col("first")))
         .groupBy("doc_id", "start", "end", "template", "label", "need", "t_size", "t_words", "tokens")
         .agg(F.min("b_at").alias("b_at"), F.min("t_at").alias("t_at"))
         .filter(

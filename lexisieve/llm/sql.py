@@ -64,30 +64,31 @@ FROM reach LEFT JOIN size ON size.doc_id = a GROUP BY 1"""
 
 
 def _license_sql() -> str:
-    from lexisieve.llm import licenses
+    from lexisieve.llm.licenses import PHRASES, TEMPLATES
 
-    rows = ", ".join(
-        f"({t.number}, '{t.label}', {list(t.words)}, {t.need}, {licenses.block_size(t)})"
-        for t in licenses.templates(0.8)
-    )
+    rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
     places = " UNION ALL ".join(
         f"SELECT doc_id, '{label}' AS label, i - 1 AS pos FROM placed WHERE array_to_string(w[i:i + {len(p.split()) - 1}], ' ') = '{p}'"
-        for p, label in licenses.PHRASES.items()
+        for p, label in PHRASES.items()
     )
     return f"""
 WITH split AS (
     SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
     FROM documents
-), template(number, label, words, need, size) AS (VALUES {rows}),
-placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+), notice(number, label, text) AS (VALUES {rows}),
+template AS (
+    SELECT number, label, list_distinct(string_split(text, ' ')) AS words,
+        CASE WHEN len(list_distinct(string_split(text, ' '))) < 10 THEN len(list_distinct(string_split(text, ' ')))
+            ELSE ceil(0.8 * len(list_distinct(string_split(text, ' '))) - 1e-9) END AS need,
+        2 * greatest(32, 2 ** ceil(log2(len(string_split(text, ' ')))))::BIGINT AS size
+    FROM notice
+), placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split),
 base AS ({places}),
 block AS (
-    SELECT doc_id, size, list_distinct(w[start + 1:start + size]) AS b
-    FROM (SELECT doc_id, w, size, unnest(range(0, greatest(len(w), 1), size // 2)) AS start
-        FROM split, (SELECT DISTINCT size FROM template))
+    SELECT DISTINCT doc_id, number, label, words, need, list_distinct(list_intersect(w[i:i + size - 1], words)) AS b
+    FROM split JOIN template ON len(list_distinct(list_intersect(w, words))) >= need, unnest(range(1, len(w) + 1)) AS every(i)
 ), met AS (
-    SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS c FROM block JOIN template USING (size)
-    WHERE len(list_intersect(b, words)) >= need
+    SELECT doc_id, label, len(b) / len(words) AS c FROM block WHERE len(b) >= need
 ), every_label AS (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM met)
 SELECT doc_id, len(w)::BIGINT AS n_words,
     (SELECT count(*) FROM base b WHERE b.doc_id = s.doc_id)::BIGINT AS n_base,

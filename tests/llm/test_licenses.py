@@ -13,15 +13,21 @@ def words_of(text):
 
 
 def brute_blocks(texts, threshold=0.8):
-    out = set()
+    out, met = set(), set()
     for t in licenses.templates(threshold):
         size = licenses.block_size(t)
         for doc, text in enumerate(texts):
             w = words_of(text)
-            for start in range(0, max(len(w), 1), size // 2):
+            for start in range(len(w)):
                 shared = len(set(w[start : start + size]) & set(t.words))
                 if shared >= t.need:
+                    met.add((doc, t.number, shared))
+                if shared >= t.need and w[start] in t.words:
                     out.add((doc, t.number, start, round(shared / len(t.words), 9)))
+    # blocks that start elsewhere meet no other template, nor any better
+    best = {(doc, n): max(s for d, m, s in met if (d, m) == (doc, n)) for doc, n, _ in met}
+    count = {t.number: len(t.words) for t in licenses.templates(threshold)}
+    assert {(d, n, round(s / count[n], 9)) for (d, n), s in best.items()} <= {(d, n, c) for d, n, _, c in out}
     return out
 
 
@@ -65,3 +71,13 @@ def test_scan_equals_brute_force(make_docs):
 def test_empty_table(make_docs):
     documents, blocks = licenses.license_scan(make_docs([]))
     assert documents.count() == 0 and blocks.count() == 0
+
+
+def test_a_notice_spread_off_any_grid_is_found(make_docs):
+    """Words put between those of a notice, and some left out: no block on a fixed grid holds enough."""
+    notice = licenses.TEMPLATES[3][1].split()
+    spread = " ".join(f"{w} x{i}" for i, w in enumerate(notice) if i % 14 != 5)
+    texts = [f"{prose(n, n)} {spread} {prose(50, n + 1)}" for n in (3, 17, 29, 33, 47)]
+    documents, blocks = licenses.license_scan(make_docs(texts))
+    assert {(r.doc_id, r.template, r.start, round(r.containment, 9)) for r in blocks.collect()} == brute_blocks(texts)
+    assert all("mit" in r.labels for r in documents.collect())
