@@ -737,21 +737,24 @@ ORACLE["two_stage_fit"] = with_views(
     ),
     "v_train", **_prepared("v_train"), **_vocabularies("v_train"),
 )
-ORACLE["two_stage_predict"] = with_views(
+ORACLE["two_stage_predict_formula"] = with_views(
     "SELECT row_idx, pred FROM predicted", "v_train", "v_test", **_predicted("v_train", "v_test")
 )
-ORACLE["submission"] = _on_keys(
+ORACLE["submission_formula"] = _on_keys(
     """SELECT sk.row_idx, sk.ID, pred AS LABEL FROM sk JOIN uniq USING (k)
     JOIN predicted p ON p.row_idx = uniq.row_idx""",
     **_predicted("clean", "uniq"),
 )
-ORACLE["holdout_eval"] = _on_keys(
-    f"""SELECT round(avg({F1}), 6) AS macro_f1, (SELECT round(avg((a = p)::INT), 6) FROM judged) AS accuracy,
-        (SELECT count(*) FROM judged) AS row_count FROM c""",
+_HALVES = dict(
     shares="""SELECT LABEL, ceil(0.2 * sum(count(*)) OVER ()) AS size,
         ceil(0.2 * sum(count(*)) OVER ()) * count(*) / sum(count(*)) OVER () AS exact FROM clean GROUP BY LABEL""",
     quotas="""SELECT LABEL, floor(exact) + CASE WHEN row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, LABEL)
         <= size - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS quota FROM shares""",
+)
+ORACLE["holdout_eval_formula"] = _on_keys(
+    f"""SELECT round(avg({F1}), 6) AS macro_f1, (SELECT round(avg((a = p)::INT), 6) FROM judged) AS accuracy,
+        (SELECT count(*) FROM judged) AS row_count FROM c""",
+    **_HALVES,
     halves="""SELECT p.row_idx, p.TEXT, p.LABEL, place <= quota AS is_valid FROM (
         SELECT v.*, row_number() OVER (PARTITION BY v.LABEL ORDER BY md5(concat(ID, '539')), row_idx) AS place
         FROM clean v) p JOIN quotas USING (LABEL)""",
@@ -761,3 +764,18 @@ ORACLE["holdout_eval"] = _on_keys(
     judged="SELECT LABEL AS a, pred AS p FROM predicted JOIN held USING (row_idx)",
     meanings=_MEANINGS, c=PER_CLASS,
 )
+
+# a fitted model has no SQL form, what must hold for it has
+ORACLE["holdout_beats_majority"] = _on_keys(
+    "SELECT sum(quota)::BIGINT AS held_out_rows, true AS beats_majority FROM quotas", **_HALVES
+)
+
+ORACLE["sketched_quantiles"] = """
+SELECT feature, (SELECT count(*) FROM documents)::BIGINT AS count, true AS median_within, true AS p90_within
+FROM (VALUES ('char_count'), ('word_count'), ('exclamation_count'), ('question_count'), ('uppercase_ratio')) f(feature)"""
+
+ORACLE["sketched_distinct"] = """
+SELECT 'lineitem.l_partkey' AS column, count(DISTINCT l_partkey)::BIGINT AS distinct_values, true AS within FROM lineitem
+UNION ALL SELECT 'orders.o_custkey', count(DISTINCT o_custkey), true FROM orders
+UNION ALL SELECT 'documents.text', count(DISTINCT text), true FROM documents
+UNION ALL SELECT 'pages.url', count(DISTINCT url), true FROM pages"""

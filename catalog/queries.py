@@ -21,6 +21,7 @@ from lexisieve.operators import dedup as D
 from lexisieve.operators import evaluate as E
 from lexisieve.operators import features as X
 from lexisieve.operators import labels as L
+from lexisieve.operators import sketches as Q
 from lexisieve.operators import split as S
 from lexisieve.plans import classifier as C
 from lexisieve.plans import report as R
@@ -309,6 +310,57 @@ def duplicate_summary(spark, d):
     return summary.withColumns(cells)  # a count that does not apply is an empty cell
 
 
+def _feature_values(spark, d) -> DataFrame:
+    """Numeric measures of every document in long form, with a part to merge over."""
+    features = R.text_features(V.texts(spark, d), "all", keep=("row_idx",))
+    part = F.pmod("row_idx", F.lit(8)).cast("int")
+    return features.withColumn("part", part).unpivot(["part"], R.NUMERIC_MEASURES, "feature", "value")
+
+
+@query
+def sketched_quantiles(spark, d):
+    """Values, and whether ranks of merged sketches' quantiles are within the stated error."""
+    long = materialize(_feature_values(spark, d))
+    merged = Q.merge_quantiles(Q.quantile_sketches(long, ["feature", "part"], "value"), ["feature"])
+    told = Q.sketched_quantiles(merged, {"median": 0.5, "p90": 0.9})
+    # a value may have many rows: its ranks reach from those below it to those up to it
+    ranks = long.join(F.broadcast(told), "feature").groupBy("feature").agg(
+        F.first("count").alias("count"),
+        *[
+            F.avg(F.expr(f"CAST(value {sign} {name} AS INT)")).alias(f"{name}_{side}")
+            for name in ("median", "p90")
+            for sign, side in (("<", "low"), ("<=", "high"))
+        ],
+    )
+
+    def within(name: str, share: float) -> Column:
+        error = Q.rank_error()
+        return (F.col(f"{name}_low") <= share + error) & (F.col(f"{name}_high") >= share - error)
+
+    return ranks.select(
+        "feature", "count", within("median", 0.5).alias("median_within"), within("p90", 0.9).alias("p90_within")
+    )
+
+
+@query
+def sketched_distinct(spark, d):
+    """Distinct values of some columns, exact, and whether merged sketches tell them within the error."""
+    columns = {"lineitem": "l_partkey", "orders": "o_custkey", "documents": "text", "pages": "url"}
+    values = _union(
+        [
+            V.table(spark, d, name).select(
+                F.lit(f"{name}.{col}").alias("column"), F.col(col).cast("string").alias("value")
+            )
+            for name, col in columns.items()
+        ]
+    ).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(8)))
+    merged = Q.merge_distinct(Q.distinct_sketches(values, ["column", "part"], "value"), ["column"])
+    exact = values.groupBy("column").agg(F.count_distinct("value").alias("distinct_values"))
+    told = Q.sketched_distinct(merged).withColumnRenamed("distinct_values", "told")
+    close = F.abs(F.col("told") - F.col("distinct_values")) <= F.ceil(F.col("distinct_values") * Q.distinct_error())
+    return exact.join(told, "column").select("column", "distinct_values", close.alias("within"))
+
+
 # --- text steps ---------------------------------------------------------------
 
 
@@ -606,13 +658,15 @@ def _formula_model(docs: DataFrame) -> C.TwoStageModel:
 
 
 @query
-def two_stage_predict(spark, d):
+def two_stage_predict_formula(spark, d):
+    """Predictions under weights that are a formula of the term's length: routing and joins, no fit."""
     model = _formula_model(C.prepare(V.train(spark, d)))
     return _round(C.predict(C.prepare(V.test(spark, d)), model))
 
 
 @query
-def holdout_eval(spark, d):
+def holdout_eval_formula(spark, d):
+    """Metrics of the held-out fifth under formula weights."""
     clean = D.clean_train(V.train(spark, d), V.test(spark, d))
     docs = materialize(S.with_holdout(C.prepare(clean)))
     valid = docs.filter("is_valid")
@@ -622,48 +676,34 @@ def holdout_eval(spark, d):
 
 
 @query
-def submission(spark, d):
+def submission_formula(spark, d):
+    """Every test row's label under formula weights, each distinct text scored once."""
     train, test = V.train(spark, d), V.test(spark, d)
     model = _formula_model(C.prepare(D.clean_train(train, test)))
     return _round(W.predict_submission(test, model))
 
 
-_FITTED: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark, d, name, make):
-    """A model that several queries of one session use is fitted once."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _FITTED:
-        _FITTED[key] = make()
-    return _FITTED[key]
+# Fits use at most so many labelled rows, drawn by the holdout's lots in proportion per
+# label, which bounds the solver's vectors whatever the size of the tables.
+MAX_LABELLED_ROWS = 20_000
 
 
-def _train_docs(spark, d) -> DataFrame:
-    return _once(spark, d, "docs", lambda: C.prepare(V.train(spark, d)))
-
-
-def _fitted_stage1(spark, d) -> C.StageModel:
-    docs = _train_docs(spark, d)
-    return _once(spark, d, "stage1", lambda: C.fit_stage(docs, F.col("LABEL") != 0, X.STAGE1))
-
-
-def _fitted_model(spark, d) -> C.TwoStageModel:
-    reviews = _train_docs(spark, d).filter(F.col("LABEL").isin(1, 2))
-    second = _once(spark, d, "stage2", lambda: C.fit_stage(reviews, F.col("LABEL") == 2, X.STAGE2))
-    return C.TwoStageModel(_fitted_stage1(spark, d), second)
+def _model(docs: DataFrame) -> C.TwoStageModel:
+    return C.fit(docs, max_labelled_rows=MAX_LABELLED_ROWS)
 
 
 @query
 def stage1_fit(spark, d):
-    return _fitted_stage1(spark, d).terms.groupBy("branch").agg(
+    docs = C.bounded(C.prepare(V.train(spark, d)), "LABEL", MAX_LABELLED_ROWS)
+    model = C.fit_stage(docs, F.col("LABEL") != 0, X.STAGE1)
+    return model.terms.groupBy("branch").agg(
         F.count("*").alias("terms"), F.count_if(F.col("weight") != 0).alias("weighted_terms")
     )
 
 
 @query
 def two_stage_fit(spark, d):
-    model = _fitted_model(spark, d)
+    model = _model(C.prepare(V.train(spark, d)))
     return _union(
         [
             s.terms.groupBy("branch")
@@ -676,10 +716,40 @@ def two_stage_fit(spark, d):
 
 @query
 def two_stage_predict_fitted(spark, d):
-    return C.predict(C.prepare(V.test(spark, d)), _fitted_model(spark, d))
+    """Labels of all test rows by a model fitted on the train rows."""
+    model = _model(C.prepare(V.train(spark, d)))
+    return C.predict(C.prepare(V.test(spark, d)), model)
 
 
 @query
-def holdout_eval_fitted(spark, d):
+def submission_fitted(spark, d):
+    """From raw tables to a checked submission: contracts, clean-up, fit, one label for each test row."""
+    train, test = V.train(spark, d), V.test(spark, d)
+    clean, _, _ = W.clean_views(train, test)
+    done = W.predict_submission(test, _model(C.prepare(clean)))
+    K.require_submission(done.withColumn("LABEL", F.col("LABEL").cast("int")), V.test_ids(spark, d))
+    return done
+
+
+def _held_out(spark, d) -> DataFrame:
     clean = D.clean_train(V.train(spark, d), V.test(spark, d))
-    return E.overall_metrics(W.holdout_predictions(clean))
+    return W.holdout_predictions(clean, max_labelled_rows=MAX_LABELLED_ROWS)
+
+
+@query
+def holdout_eval_fitted(spark, d):
+    """Metrics of the held-out fifth, by a model fitted on the other rows."""
+    return E.overall_metrics(_held_out(spark, d))
+
+
+@query
+def holdout_beats_majority(spark, d):
+    """Held-out rows, and whether the fitted model's macro F1 beats the most frequent label's."""
+    scores = _held_out(spark, d)
+    rows = scores.agg(F.count("*").alias("held_out_rows"))
+    most = scores.groupBy("LABEL").count().agg(F.max_by("LABEL", F.struct("count", -F.col("LABEL"))))
+    naive = E.overall_metrics(scores.select("LABEL", most.scalar().alias("pred")))
+    fitted = E.overall_metrics(scores).select("macro_f1").scalar()
+    return rows.select(
+        "held_out_rows", (fitted > naive.select("macro_f1").scalar()).alias("beats_majority")
+    )
