@@ -12,7 +12,10 @@ are shared between pieces that start alike.
 
 Ranks come from a file (one base64 token and its rank a line), read once per Python
 worker from ``path``, which every executor must have. Last tokens, pairs that go together
-and the encodings of pieces are kept in tables of bounded size.
+and the encodings of pieces are kept in tables of at most ``MOST_PREFIXES``, ``MOST_PAIRS``
+and ``MOST_PIECES`` entries (about 100 MB in all); `encode_rows` frees them at the end of
+each task. Pieces of more than ``LONG_PIECE`` bytes keep the last tokens of their prefixes
+in a list of their own; their encoding is the same.
 
 Defined results: null text is encoded as empty; null ids are decoded as no bytes; the
 encoding of a text does not depend on other rows; an empty table gives an empty result.
@@ -22,28 +25,39 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MOST_PIECES, MOST_PREFIXES, MOST_PAIRS = 500_000, 150_000, 250_000
+MOST_PIECES, MOST_PREFIXES, MOST_PAIRS = 400_000, 150_000, 200_000
+SLICE = 256
 LONG_PIECE = 64
 FOREVER = 1 << 60
 
 
 class _Table(dict):
-    """A dictionary that computes what it lacks. When full it keeps what is asked for again."""
+    """A dictionary that computes what it lacks.
+
+    It and the ``older`` one, from which it takes what is asked for again, hold at most
+    ``most`` entries together.
+    """
 
     def __init__(self, compute, most: int):
         super().__init__()
         self.compute, self.most, self.older = compute, most, {}
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
     def __missing__(self, key):
-        if len(self) >= self.most:
+        if 2 * len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         value = self.older.get(key)
@@ -66,6 +80,11 @@ class BytePairs:
         self.lasts = _Table(self._last_of, MOST_PREFIXES)
         self.pieces = _Table(self._piece, MOST_PIECES)
 
+    def forget(self) -> None:
+        """Free all tables but the ranks."""
+        for table in (self.edges, self.together, self.lasts, self.pieces):
+            table.forget()
+
     def _merges(self, token: bytes) -> tuple[list, list]:
         """Merge ``token`` as BPE does: what is left, and each part's ``(start, end, born, gone)``."""
         parts = [(i, i + 1, -1) for i in range(len(token))]
@@ -231,17 +250,53 @@ def load(path: str, pattern: str) -> BytePairs:
     return BytePairs(ranks, pattern)
 
 
+def _packed_lists(packed: list[bytes]) -> pa.ListArray:
+    """Packed 32-bit numbers as rows of a list column."""
+    offsets = np.zeros(len(packed) + 1, np.int64)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids)
+
+
+def encode_rows(
+    docs: DataFrame, keep: list[str], path: str, pattern: str, text_col: str = "text"
+) -> DataFrame:
+    """The columns ``keep`` of ``docs``, the ``ids`` of each text, and ``decoded``, the bytes they stand for.
+
+    The way for whole tables: a task frees its tables when it ends, so a worker that waits
+    for other work holds no more than the ranks.
+    """
+    given = docs.select(*keep, F.col(text_col).alias("_encoded_text"))
+    schema = T.StructType(
+        [*given.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = load(path, pattern)
+        of = pairs.bytes_of.__getitem__
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), SLICE):
+                    part = batch.slice(at, SLICE)
+                    packed = [pairs.encode(t or "") for t in part.column(len(keep)).to_pylist()]
+                    decoded = [b"".join(map(of, memoryview(p).cast("i"))) for p in packed]
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:-1], _packed_lists(packed), pa.array(decoded, pa.binary())],
+                        names=[*keep, "ids", "decoded"],
+                    )
+        finally:
+            pairs.forget()
+
+    return given.mapInArrow(run, schema)
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Token ids, ``array<int>``; each match of ``pattern`` is encoded on its own."""
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         pairs = load(path, pattern)
-        packed = [pairs.encode(t or "") for t in texts.to_pylist()]
-        offsets = np.zeros(len(packed) + 1, np.int64)
-        np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-        ids = pa.array(np.frombuffer(b"".join(packed), np.int32))
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids)
+        return _packed_lists([pairs.encode(t or "") for t in texts.to_pylist()])
 
     return run(text)
 

@@ -88,12 +88,11 @@ def op8_shard_minimax(spark: SparkSession, d: str) -> DataFrame:
 
 def with_token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and digests of a text's ids and of what they decode to."""
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    return encoded.select(
+    return bpe.encode_rows(docs, ["doc_id"], path, pattern).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -84,3 +84,21 @@ def test_columns(spark, make_docs, reference):
         assert row.ids == reference.encode_ordinary(text or "")
         assert bytes(row.back) == (text or "").encode()
     assert make_docs([]).select(bpe.encode(F.col("text"), PATH, PATTERN).alias("ids")).count() == 0
+
+
+def test_rows_of_a_table_and_freed_tables(spark, reference):
+    rows = [(i, t, "clash") for i, t in enumerate([None, "", "x" * 9000, *texts(50, 9)])]
+    df = spark.createDataFrame(rows, "doc_id bigint, body string, decoded string")
+    done = bpe.encode_rows(df, ["doc_id"], PATH, PATTERN, "body").collect()
+    for (i, text, _), row in zip(rows, sorted(done)):
+        assert row.doc_id == i and list(row.ids) == reference.encode_ordinary(text or "")
+        assert bytes(row.decoded).decode() == (text or "")
+    assert bpe.encode_rows(df.limit(0), ["doc_id"], PATH, PATTERN, "body").count() == 0
+
+
+def test_tables_hold_no_more_than_they_say():
+    table = bpe._Table(lambda key: key, 100)
+    for key in range(1000):
+        assert table[key] == key and len(table) + len(table.older) <= 101
+    table.forget()
+    assert not table and not table.older
