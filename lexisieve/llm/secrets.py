@@ -1,25 +1,31 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 Candidates are runs of key-like characters that hold a digit or are very long, and values
-assigned to a name such as ``password``, whole: runs inside them are part of them. A forest decides which are secrets, from their
-length, the kinds of characters and how often they change, how much of them dictionary
-words cover, the path (source) they come from, and the words next to them.
-
-It is trained on labelled findings. `label_findings` labels the clear cases of a corpus by
-rule (known key formats and mixed values under a secret's name against plain numbers,
-plain words, and UUIDs, hex digests and timestamps that are not assigned) and leaves the others open; own labelled findings may be given instead. At
-most ``fit_rows`` of each label are used for fitting, those with the least hashes. The
-dictionary holds the ``dictionary_words`` most frequent words of all texts.
+assigned to a name such as ``password``, whole: runs inside them are part of them. A forest
+decides which are secrets, from their length, the kinds of characters and how often they
+change, how much of them dictionary words cover, the path (source) they come from, and the
+words next to them.
+
+It is trained on labelled findings: `label_findings` labels the clear cases of a corpus by
+rule (known key formats and mixed values under a secret's name against plain numbers, plain
+words, and UUIDs, hex digests and timestamps that are not assigned) and leaves the others
+open; own labelled findings may be given instead. Labels only train. There are two forests,
+each fitted on one half of the findings by hash, and a finding is scored by the forest that
+was not fitted on it (`held_out` therefore gives held-out precision and recall). At most
+``fit_rows`` of each label are used for a fit, those with the least hashes. The dictionary
+holds the ``dictionary_words`` most frequent words of all texts.
 
 Defined results: null or empty text has no candidates; an empty table gives an empty
-result; without findings of both labels nothing is removed and scores are 1; rows with
-equal ids are scanned one by one, but `redact` needs one row an id, rows with a null id
-are scanned and not redacted; other columns stay as they are.
+result; a half without findings of both labels is scored by the other half's forest, and
+without any forest nothing is removed and scores are 1; rows with equal ids are scanned one
+by one, but `redact` needs one row an id, rows with a null id are scanned and not redacted;
+other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,6 +66,21 @@ class SecretScan:
     seed: int = 539
 
 
+class Dictionary:
+    def __init__(self, words: list[str]):
+        self.words, self.longest = set(words), max(map(len, words), default=0)
+
+    def coverage(self, value: str) -> float:
+        """Share of the characters that words cover, longest words first from the left."""
+        low, at, covered = value.lower(), 0, 0
+        while at < len(low):
+            sizes = range(min(self.longest, len(low) - at), 2, -1)
+            size = next((n for n in sizes if low[at : at + n] in self.words), 0)
+            covered += size
+            at += size or 1
+        return covered / max(len(low), 1)
+
+
 def find_candidates(text: str) -> list[tuple[int, int, str, str, bool]]:
     """``(start, end, word before, word after, assigned)`` of every candidate, in code points."""
     # a value takes in the runs inside it; a run that reaches into one ends where it starts
@@ -94,19 +115,27 @@ def find_candidates(text: str) -> list[tuple[int, int, str, str, bool]]:
     return out
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``(doc_id, path, start, end, value, before, after, assigned)`` of all candidates."""
+def scan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    path_col: str = "source",
+    words: list[str] | None = None,
+) -> DataFrame:
+    """``(doc_id, path, start, end, value, before, after, assigned, coverage)`` of all candidates."""
     schema = (
         "doc_id bigint, path string, start int, end int, value string, before string, after string,"
-        " assigned boolean"
+        " assigned boolean, coverage double"
     )
+    known = Dictionary(words or [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, path, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for start, end, before, after, assigned in find_candidates(text or ""):
-                    rows.append((doc, path, start, end, text[start:end], before, after, assigned))
+                    value = text[start:end]
+                    rows.append((doc, path, start, end, value, before, after, assigned, known.coverage(value)))
             columns = list(zip(*rows)) if rows else [()] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types.values())], list(types)
@@ -114,7 +143,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
 
     types = {
         "doc_id": pa.int64(), "path": pa.string(), "start": pa.int32(), "end": pa.int32(), "value": pa.string(),
-        "before": pa.string(), "after": pa.string(), "assigned": pa.bool_(),
+        "before": pa.string(), "after": pa.string(), "assigned": pa.bool_(), "coverage": pa.float64(),
     }
     return docs.select(F.col(id_col).cast("bigint"), F.col(path_col).cast("string"), F.col(text_col)).mapInArrow(
         run, schema
@@ -128,25 +157,6 @@ def dictionary(docs: DataFrame, size: int, text_col: str = "text") -> list[str]:
     return [r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(size).collect()]
 
 
-def _coverage(value: Column, words: list[str]) -> Column:
-    """Share of the value's characters that dictionary words cover, longest words first from the left."""
-
-    @F.arrow_udf("double")
-    def run(values: pa.Array) -> pa.Array:
-        known, longest = set(words), max(map(len, words), default=0)
-        out = []
-        for v in values.to_pylist():
-            low, at, covered = v.lower(), 0, 0
-            while at < len(low):
-                size = next((n for n in range(min(longest, len(low) - at), 2, -1) if low[at : at + n] in known), 0)
-                covered += size
-                at += size or 1
-            out.append(covered / max(len(low), 1))
-        return pa.array(out, pa.float64())
-
-    return run(value)
-
-
 def label_findings(findings: DataFrame) -> DataFrame:
     """``findings`` with ``label``: 1.0 and 0.0 for clear cases, else null."""
     value = F.col("value")
@@ -161,7 +171,7 @@ def label_findings(findings: DataFrame) -> DataFrame:
     )
 
 
-def _features(words: list[str]) -> Column:
+def _features() -> Column:
     value = F.col("value")
     length = F.length(value).cast("double")
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / length
@@ -177,7 +187,7 @@ def _features(words: list[str]) -> Column:
         share("(?<=[0-9])[A-Z]"),
         share("(?<=[a-z])[A-Z]"),
         F.size(F.array_distinct(F.split(value, ""))) / length,
-        _coverage(value, words),
+        F.col("coverage"),
         F.col("assigned").cast("double"),
         F.col("before").rlike(SECRET_NAMES).cast("double"),
         bucket(F.col("path"), 64),
@@ -215,28 +225,60 @@ def scan_secrets(
     ``labelled`` findings, in the columns of `scan` and ``label``, replace labels by rule.
     """
     words = dictionary(docs, settings.dictionary_words, text_col)
-    found = materialize(label_findings(scan(docs, id_col, text_col, path_col)).withColumn("x", _features(words)))
-    model = fit(found if labelled is None else labelled.withColumn("x", _features(words)), settings)
-    if model is None:
-        scored = found.withColumn("score", F.lit(1.0))
-    else:
-        probability = vector_to_array("probability")[1]
-        scored = model.transform(found.withColumn("v", array_to_vector("x"))).withColumn("score", probability)
+    found = materialize(
+        label_findings(scan(docs, id_col, text_col, path_col, words)).withColumn("x", _features())
+    )
+    return score(found, found if labelled is None else labelled.withColumn("x", _features()), settings)
+
+
+def _half(settings: SecretScan) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "start", F.lit(settings.seed + 1)), F.lit(2)).cast("int")
+
+
+def score(found: DataFrame, labelled: DataFrame, settings: SecretScan = SecretScan()) -> DataFrame:
+    """``found(.., x)`` with the score of the forest that was fitted on the other half's labels."""
+    half = _half(settings)
+    halves = [fit(labelled.filter(half != i), settings) for i in (0, 1)]
+    scored = found.withColumn("v", array_to_vector("x"))
+    names = []
+    for i, model in enumerate(halves):
+        model = model or halves[1 - i]
+        names.append(F.lit(1.0))
+        if model is not None:
+            probability = vector_to_array("probability")[1]
+            scored = (
+                model.transform(scored)
+                .withColumn(f"by_{i}", probability)
+                .drop("rawPrediction", "probability", "prediction")
+            )
+            names[-1] = F.col(f"by_{i}")
+    scored = scored.withColumn("score", F.round(F.when(half == 0, names[0]).otherwise(names[1]), 9))
     return scored.select(
-        "doc_id", "path", "start", "end", "value", "before", "after", "assigned", "label",
-        F.round("score", 9).alias("score"),
+        "doc_id", "path", "start", "end", "value", "before", "after", "assigned", "label", "score",
         (F.col("score") >= settings.threshold).alias("secret"),
     )
 
 
+def held_out(scored: DataFrame) -> DataFrame:
+    """``(findings, precision, recall)`` over the labelled findings; no forest was fitted on what it scores."""
+    known = scored.filter("label IS NOT NULL")
+    right = F.count_if(F.col("secret") & (F.col("label") == 1))
+    return known.agg(
+        F.count("*").alias("findings"),
+        F.try_divide(right, F.count_if(F.col("secret"))).alias("precision"),
+        F.try_divide(right, F.count_if(F.col("label") == 1)).alias("recall"),
+    )
+
+
 def redact(
     docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with every secret of ``findings`` replaced by ``mark``; no row goes."""
+    own_id, own_spans = (f"_{name}_{uuid.uuid4().hex}" for name in ("id", "spans"))  # clash with no column
     spans = materialize(
         findings.filter("secret AND doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end")), asc=False).alias("_spans"))
+        .groupBy(F.col("doc_id").alias(own_id))
+        .agg(F.sort_array(F.collect_set(F.struct("start", "end")), asc=False).alias(own_spans))
     )
     if spans.count() <= SMALL_BROADCAST:
         spans = F.broadcast(spans)
@@ -246,9 +288,9 @@ def redact(
         return F.concat(F.substring(text, F.lit(1), span["start"]), F.lit(mark), rest)
 
     none = F.array().cast("array<struct<start:int,end:int>>")
-    redacted = F.aggregate(F.coalesce("_spans", none), F.col(text_col), cut)
+    redacted = F.aggregate(F.coalesce(own_spans, none), F.col(text_col), cut)
     return (
-        docs.join(spans, F.col(id_col) == F.col("_id"), "left")
-        .withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(redacted))
+        docs.join(spans, F.col(id_col) == F.col(own_id), "left")
+        .withColumn(text_col, F.when(F.col(own_spans).isNull(), F.col(text_col)).otherwise(redacted))
         .select(*docs.columns)
     )

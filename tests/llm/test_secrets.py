@@ -50,7 +50,8 @@ def test_held_out_accuracy(make_docs):
     test, _ = corpus(200, 5000)
     words = secrets.dictionary(make_docs(train), 500)
     labelled = [
-        secrets.label_findings(secrets.scan(make_docs(t))).withColumn("x", secrets._features(words)) for t in (train, test)
+        secrets.label_findings(secrets.scan(make_docs(t), words=words)).withColumn("x", secrets._features())
+        for t in (train, test)
     ]
     model = secrets.fit(labelled[0])
     held = labelled[1].filter("label IS NOT NULL").withColumn("v", secrets.array_to_vector("x"))
@@ -90,3 +91,46 @@ def test_uuids_digests_and_timestamps_are_negatives_unless_assigned(make_docs):
     docs = make_docs([f"see {v} here" for v in values] + [f"token = {v}" for v in values])
     labels = {r.doc_id: r.label for r in secrets.label_findings(secrets.scan(docs)).collect()}
     assert labels == {0: 0.0, 1: 0.0, 2: 0.0, 3: 1.0, 4: 1.0, 5: 1.0}
+
+
+def findings_of(spark, n, seed):
+    """Mixed values that no rule decides: secrets after one kind of word, commit ids after another."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        value = "".join(rng.choice("abcdefghij0123456789") for _ in range(rng.choice([18, 20, 22])))
+        secret = rng.random() < 0.5
+        before = rng.choice(["bearer", "auth"]) if secret else rng.choice(["commit", "build"])
+        rows.append((i, "src/config.py" if secret else "CHANGELOG", f"{before} {value} {rng.choice(['ok', 'end'])}", float(secret)))
+    return spark.createDataFrame(rows, "doc_id bigint, source string, text string, truth double")
+
+
+def test_the_forest_decides_what_rules_leave_open(spark):
+    docs = findings_of(spark, 600, 3)
+    found = secrets.scan(docs)
+    assert secrets.label_findings(found).filter("label IS NOT NULL").count() == 0
+    labelled = found.join(docs.select("doc_id", F.col("truth").alias("label")).filter("doc_id < 400"), "doc_id")
+    scored = secrets.scan_secrets(docs, labelled=labelled)
+    truth = {r.doc_id: r.truth == 1 for r in docs.collect()}
+    right = [truth[r.doc_id] == r.secret for r in scored.collect()]
+    assert len(right) == 600 and sum(right) >= 0.95 * 600
+    judged = secrets.held_out(scored.drop("label").join(labelled.select("doc_id", "label"), "doc_id")).first()
+    assert judged.findings == 400 and judged.precision >= 0.9 and judged.recall >= 0.9
+
+
+def test_no_forest_scores_what_it_was_fitted_on(spark):
+    """Labels drawn at random cannot be learned: held out, they are guessed no better than by chance."""
+    docs = findings_of(spark, 500, 4)
+    found = secrets.scan(docs).drop("before", "path").withColumns({"before": F.lit("x"), "path": F.lit("y")})
+    noise = found.withColumn("label", F.pmod(F.xxhash64("value", F.lit("noise")), F.lit(2)).cast("double"))
+    scored = secrets.score(noise.withColumn("x", secrets._features()), noise.withColumn("x", secrets._features()))
+    hits = scored.agg(F.avg((F.col("secret") == (F.col("label") == 1)).cast("int"))).first()[0]
+    assert hits < 0.65
+
+
+def test_redact_with_clashing_names(make_docs):
+    docs = make_docs(["token = abcdef0123456789 end", "plain", None])
+    docs = docs.withColumns({name: F.lit("clash") for name in ("_id", "_spans", "start", "end", "secret")})
+    done = secrets.redact(docs, secrets.scan_secrets(docs))
+    assert done.columns == docs.columns
+    assert {r.doc_id: r.text for r in done.collect()} == {0: "token = [SECRET] end", 1: "plain", 2: None}
