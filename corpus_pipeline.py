@@ -47,16 +47,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it."""
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = docs.select(
-        "doc_id", "lang", "source", F.col("text"), bpe.encode(F.col("text"), path, pattern).alias("ids")
-    )
+    encoded = bpe.encode_rows(docs, ["doc_id", "lang", "source", "text"], path, pattern)
     return encoded.select(
         "doc_id",
         "lang",
         "source",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        (bpe.decode(F.col("ids"), path, pattern) == F.coalesce("text", F.lit("")).cast("binary")).alias("intact"),
+        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("intact"),
         "ids",
     )
 
