@@ -683,8 +683,7 @@ def submission_formula(spark, d):
     return _round(W.predict_submission(test, model))
 
 
-# Fits use at most so many labelled rows, drawn by the holdout's lots in proportion per
-# label, which bounds the solver's vectors whatever the size of the tables.
+# Fits use at most so many labelled rows, drawn by the holdout's lots in proportion per label.
 MAX_LABELLED_ROWS = 20_000
 
 

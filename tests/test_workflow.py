@@ -173,14 +173,6 @@ def test_bounded_fit(spark, root):
     assert judged.filter("pred = LABEL").count() >= 0.6 * docs.count()
 
 
-def test_too_many_features(spark, root, monkeypatch):
-    folder, _, _ = root
-    docs = C.prepare(read_inputs(spark, str(folder))[0])
-    monkeypatch.setattr(C, "MAX_FEATURES", 10)
-    with pytest.raises(ContractError, match="max_labelled_rows"):
-        C.fit_stage(docs, F.col("LABEL") != 0, C.STAGE1)
-
-
 def test_fit_needs_all_labels(spark, root):
     folder, _, _ = root
     train = read_inputs(spark, str(folder))[0].filter("LABEL <> 2")
