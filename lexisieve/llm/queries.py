@@ -38,7 +38,7 @@ def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_verdicts(docs, ["doc_id"]).select(
         F.col("kept_columns.doc_id").alias("doc_id"),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "char_distance", "word_distance",
+        F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
     )
 
 

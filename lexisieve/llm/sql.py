@@ -165,3 +165,65 @@ WITH v AS (
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 )
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+def _quality_sql() -> str:
+    from lexisieve.llm.quality import COMMON_WORDS
+
+    space = r"[\x20\x09-\x0D]"
+    classes = ["[a-z]", space, "[A-Z]", "[0-9]", r"\p{L}", "[#*$%&|<>]"]
+    left = ["t"]
+    for pattern in classes:
+        left.append(f"regexp_replace({left[-1]}, '{pattern}', '', 'g')")
+    chars = ", ".join(
+        [f"length({a}) - length({b})" for a, b in zip(left, left[1:])] + [f"length({left[-1]})"]
+    )
+    forms = "list_transform({0}, lambda c: len(list_filter(w, lambda v: v IN (c, upper(c[1]) || c[2:], upper(c)))))"
+    common = " ".join(
+        f"WHEN '{lang}' THEN list_concat({forms.format(words)}, [len(w) - list_sum({forms.format(words)})])"
+        for lang, words in COMMON_WORDS.items()
+    )
+
+    def distance(a: str, b: str) -> str:
+        p, q = f"({a}[i] / list_sum({a}))", f"({b}[i] / list_sum({b}))"
+        part = "CASE WHEN {0} > 0 THEN {0} * log2({0} * 2 / ({0} + {1})) ELSE 0 END"
+        each = f"list_transform(range(1, len({a}) + 1), lambda i: {part.format(p, q)} + {part.format(q, p)})"
+        return f"CASE WHEN list_sum({a}) > 0 AND list_sum({b}) > 0 THEN sqrt(greatest(list_sum({each}) / 2, 0)) END"
+
+    return f"""
+WITH base AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), counted AS (
+    SELECT *, [{chars}]::DOUBLE[] AS chars, (CASE lang {common} END)::DOUBLE[] AS common,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM base
+), again AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM base WHERE len(w) >= 8)) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n FROM again, unnest(range(8)) AS step(j) GROUP BY doc_id
+), told AS (
+    SELECT doc_id, lang, len(w)::BIGINT AS n_words, (length(t) - chars[2])::BIGINT AS word_chars,
+        (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+        len(w) < 20 OR 100 * coalesce(n, 0) > 30 * len(w) AS base_failed, chars, common
+    FROM counted LEFT JOIN covered USING (doc_id)
+), sums AS (
+    SELECT lang, i, sum(chars[i]) AS c, sum(common[i]) AS w FROM told, unnest(range(1, 16)) AS place(i) WHERE NOT base_failed GROUP BY lang, i
+), reference AS (
+    SELECT lang AS ref_lang, list(c ORDER BY i) FILTER (c IS NOT NULL) AS ref_chars, list(w ORDER BY i) FILTER (w IS NOT NULL) AS ref_common
+    FROM sums GROUP BY lang
+), judged AS (
+    SELECT *, list_sum(chars) >= 200 AND list_sum(ref_chars) >= 10000 AS long_enough,
+        {distance('chars', 'ref_chars')} AS cd, {distance('common', 'ref_common')} AS wd
+    FROM told LEFT JOIN reference ON lang IS NOT DISTINCT FROM ref_lang
+), guarded AS (
+    SELECT *, CASE WHEN long_enough THEN cd END AS char_d, CASE WHEN long_enough AND n_words >= 100 THEN wd END AS word_d FROM judged
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (coalesce(char_d, 0) > 0.25 OR coalesce(word_d, 0) > 0.3) AS kept,
+    round(char_d, 6) AS char_distance, round(word_d, 6) AS word_distance
+FROM guarded"""
+
+
+ORACLE["op7_quality_rules"] = _quality_sql()
