@@ -2,7 +2,9 @@
 
 Documents are counted once into cells, one for each combination of source, language and
 topic. The cells' token weights are raked: scaled to each margin's target totals in turn,
-and cut at the tokens a cell has, until a round changes next to nothing. A document is
+and cut at the tokens a cell has, until a round changes no value's total by more than
+``tolerance`` of it, however small the value. `margin_gaps` tells for each value what was
+fitted, whether it met its target, and whether the value has as many tokens at all. A document is
 kept if the hash of its id falls below its cell's probability, the fitted share of its
 cell's tokens, so the sample's expected token totals are those fitted.
 
@@ -36,7 +38,8 @@ PLACES = 12
 
 @dataclass(frozen=True)
 class Mixture:
-    """What to rake to. ``rounds`` is a ceiling; fitting ends earlier at ``tolerance``."""
+    """What to rake to. ``rounds`` is a ceiling; fitting ends earlier once no value of a margin
+    moves by more than ``tolerance`` of its total."""
 
     margins: tuple[str, ...] = ("source", "lang", "topic")
     budget: float = 0.5
@@ -116,15 +119,51 @@ def rake(cells: DataFrame, targets: DataFrame, mixture: Mixture) -> DataFrame:
                 "weight", F.least(F.col("weight") * factor, F.col("tokens").cast("double"))
             ).drop("_now")
         step = materialize(step)
-        change = step.agg(
-            F.sum(F.abs(F.col("weight") - F.col("_before"))).alias("moved"), F.sum("_before").alias("all")
-        ).first()
+        pairs = F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("value")) for m in goals])
+        moved = (
+            step.select(F.abs(F.col("weight") - F.col("_before")).alias("m"), "weight", F.explode(pairs).alias("p"))
+            .groupBy("p.margin", "p.value")
+            .agg(F.try_divide(F.sum("m"), F.sum("weight")).alias("moved"))
+        )
+        most = moved.agg(F.max("moved")).first()[0]
         fitted = step.drop("_before")
-        if not change["all"] or change["moved"] <= mixture.tolerance * change["all"]:
+        if most is None or most <= mixture.tolerance:
             break
     return fitted.drop(*goals.values())
 
 
+def margin_gaps(fitted: DataFrame, targets: DataFrame, mixture: Mixture) -> DataFrame:
+    """``(margin, value, target, fitted, available, reachable, met)`` for cells from `rake`.
+
+    ``reachable`` says whether the value has as many tokens as its target, ``met`` whether
+    the fitted total is within 1 percent of it. A reachable target may be missed where the
+    cells it needs are used up by other margins' targets.
+    """
+    have = margin_totals(fitted, mixture.margins).withColumnRenamed("total", "available")
+    got = margin_totals(fitted, mixture.margins, "weight").withColumnRenamed("total", "fitted")
+    joined = have.join(got, ["margin", "value"]).join(targets, ["margin", "value"], "full")
+    target, available = F.coalesce("target", F.lit(0.0)), F.coalesce("available", F.lit(0)).cast("double")
+    total = F.coalesce("fitted", F.lit(0.0))
+    return joined.select(
+        "margin", "value", target.alias("target"), total.alias("fitted"), available.alias("available"),
+        (available >= target * 0.999).alias("reachable"),
+        (F.abs(total - target) <= 0.01 * target).alias("met"),
+    )
+
+
+def mixture_report(rows: DataFrame, plan: Mixture = Mixture(), targets: DataFrame | None = None) -> DataFrame:
+    """`margin_gaps` of what `mixture` fits to ``rows``."""
+    cells = token_cells(rows, plan)
+    targets = flattened_targets(cells, plan) if targets is None else targets
+    return margin_gaps(rake(cells, targets, plan), targets, plan)
+
+
+def token_cells(rows: DataFrame, plan: Mixture) -> DataFrame:
+    """Tokens and rows of each combination of the margins' values, written once."""
+    marked = rows.select("n_tokens", *[_value(m).alias(m) for m in plan.margins])
+    return materialize(marked.groupBy(*plan.margins).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")))
+
+
 def _lot(id_col: Column, seed: int) -> Column:
     """A number from 0 up to 1 that depends on the id and the seed alone."""
     return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
@@ -139,11 +178,7 @@ def mixture(
     """
     marked = rows.select("*", *[_value(m).alias(f"_{m}") for m in plan.margins])
     keys = [f"_{m}" for m in plan.margins]
-    cells = materialize(
-        marked.groupBy(*keys)
-        .agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
-        .select(*[F.col(f"_{m}").alias(m) for m in plan.margins], "tokens", "n")
-    )
+    cells = token_cells(rows, plan)
     fitted = rake(cells, flattened_targets(cells, plan) if targets is None else targets, plan)
     probability = F.round(F.coalesce(F.try_divide(F.col("weight"), F.col("tokens")), F.lit(0.0)), PLACES)
     chances = materialize(

@@ -72,3 +72,28 @@ def test_sampling_keeps_columns_and_odd_rows(make_docs):
 def test_empty_and_wordless_tables(make_docs, spark):
     assert mixing.sample_mixture(make_docs([])).count() == 0
     assert mixing.sample_mixture(make_docs(["", None])).count() == 0
+
+
+def test_the_default_plan_meets_every_reachable_value(spark):
+    report = mixing.mixture_report(rows(spark)).collect()
+    assert {r.margin for r in report} == set(mixing.Mixture().margins)
+    assert all(r.met for r in report if r.reachable)
+
+
+def test_values_out_of_reach_are_told(spark):
+    df = rows(spark)
+    cells = mixing.token_cells(df, mixing.Mixture())
+    targets = mixing.flattened_targets(cells, mixing.Mixture()).collect()
+    goal = [(r.margin, r.value, r.target * (50.0 if r.value == "=b" else 1.0)) for r in targets] + [("lang", "=xx", 5.0)]
+    wanted = spark.createDataFrame(goal, "margin string, value string, target double")
+    report = {(r.margin, r.value): r for r in mixing.mixture_report(df, targets=wanted).collect()}
+    assert not report["source", "=b"].reachable and not report["source", "=b"].met
+    assert report["source", "=b"].fitted <= report["source", "=b"].available * (1 + 1e-9)
+    assert not report["lang", "=xx"].reachable and report["lang", "=xx"].fitted == 0
+    assert report["source", "=a"].reachable
+
+
+def test_repeated_ids_share_their_fate_at_the_default_plan(spark):
+    df = rows(spark, 500)
+    done = mixing.mixture(df.union(df.filter("doc_id % 3 = 0"))).groupBy("doc_id").agg(F.collect_set("kept").alias("k"))
+    assert done.filter(F.size("k") > 1).count() == 0
