@@ -44,14 +44,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexisieve.llm.components import connected_components
+from lexisieve.llm.components import connected_components, with_row
 from lexisieve.operators.skew import join_by_weight
 from lexisieve.session import materialize
 
 WORDS, PERCENT = 5, 80
 SAMPLE_EIGHTHS, HOT_SHARE = 3, 1 / 1000
 SMALL_LIST, BLOCK = 64, 256
-MOST_WORDS, CHUNK = 300_000, 2000
+MOST_WORDS, CHUNK = 100_000, 1000
 SMALL_BROADCAST = 500_000
 
 
@@ -141,6 +141,7 @@ def sample_tokens(
                     ],
                     names,
                 )
+        _HASHES.clear()
 
     names = ["doc_id", "n", "s", "sampled", "rest", "counts"]
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(
@@ -239,6 +240,7 @@ def token_sets(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS)
                 sets = [shingle_set(t, words) for t in batch.column(0).slice(at, CHUNK).to_pylist()]
                 digests = pa.array([set_digest(x) for x in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([digests, _lists(sets)], ["s", "tokens"])
+        _HASHES.clear()
 
     return docs.select(text_col).mapInArrow(run, "s bigint, tokens array<bigint>")
 
@@ -393,20 +395,19 @@ def jaccard_classes(
     )
     roots = connected_components(set_links(sets, percent)).withColumnRenamed("id", "s")
     texts = sampled.filter("n IS NOT NULL").select("doc_id", "n", "s")
-    least = texts.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("least"))
+    held = texts.filter("n > 0")
+    least = held.groupBy("s").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     named = materialize(roots.join(least, "s"))
     of_root = named.groupBy("root").agg(F.min("least").alias("component"))
-    of_set = (
-        least.join(named.join(of_root, "root").select("s", "component"), "s", "left")
-        .select("s", F.coalesce("component", "least").alias("component"))
+    in_class = with_row(named, materialize(of_root), "root").select("s", "component")
+    of_set = materialize(
+        least.join(in_class, "s", "left").select("s", "copies", F.coalesce("component", "least").alias("component"))
     )
-    return (
-        texts.join(of_set, "s", "left")
-        .select(
-            "doc_id",
-            F.col("n").cast("bigint").alias("n_shingles"),
-            F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        )
+    n_shingles = F.col("n").cast("bigint").alias("n_shingles")
+    # one set may be that of very many texts
+    told = join_by_weight(held, of_set, ["s"], "copies", F.col("doc_id"))
+    return told.select("doc_id", n_shingles, F.col("component").alias("component_id")).unionAll(
+        texts.filter("n = 0").select("doc_id", n_shingles, F.col("doc_id").alias("component_id"))
     )
 
 

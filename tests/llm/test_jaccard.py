@@ -86,3 +86,19 @@ def test_shingles_split_as_the_pattern_does():
     assert len(jaccard.shingle_set("a\x0bb\x0cc d e f")) == 1
     assert np.array_equal(jaccard.shingle_set("A b"), jaccard.shingle_set("a  B"))
     assert not np.array_equal(jaccard.shingle_set("Ä b"), jaccard.shingle_set("ä b"))
+
+
+def test_one_text_in_most_rows_and_a_class_around_it(make_docs):
+    base = prose(60, 40)
+    texts = [base] * 450 + [edited(base, 1, 41 + i) for i in range(60)] + [prose(40, 200 + i) for i in range(90)]
+    found = classes(jaccard.jaccard_classes(make_docs(texts)))
+    assert found == brute_force(list(enumerate(texts)))
+
+
+def test_components_of_a_star_and_a_chain(spark):
+    star = [(0, i) for i in range(1, 3000)]
+    chain = [(i, i + 1) for i in range(5000, 5040)]
+    edges = spark.createDataFrame([*star, *chain, (7, 7), (9000, 9001), (9001, 9000)], "a bigint, b bigint")
+    roots = {r.id: r.root for r in connected_components(edges).collect()}
+    assert all(roots[i] == 0 for i in range(3000)) and all(roots[i] == 5000 for i in range(5000, 5041))
+    assert roots[9001] == 9000 and len(roots) == 3000 + 41 + 2
