@@ -779,3 +779,16 @@ SELECT 'lineitem.l_partkey' AS column, count(DISTINCT l_partkey)::BIGINT AS dist
 UNION ALL SELECT 'orders.o_custkey', count(DISTINCT o_custkey), true FROM orders
 UNION ALL SELECT 'documents.text', count(DISTINCT text), true FROM documents
 UNION ALL SELECT 'pages.url', count(DISTINCT url), true FROM pages"""
+
+ORACLE["conflict_examples"] = f"SELECT * FROM ({ORACLE['label_conflicts']}) ORDER BY first_idx LIMIT 5"
+
+ORACLE["submission_csv"] = with_views(
+    """SELECT ID, (row_idx % 3)::VARCHAR AS LABEL, row_number() OVER (ORDER BY row_idx) - 1 AS row_idx FROM v_test""", "v_test"
+)
+
+ORACLE["column_report"] = """
+SELECT * FROM (VALUES
+    ('documents', 'doc_id, text, label', 'doc_id, text, lang, source, n_chars', false, 'label', 'lang, source, n_chars'),
+    ('labels', 'doc_id, quality, toxic', 'doc_id, quality, toxic', true, '', ''),
+    ('benchmark', 'text, item_id', 'item_id, text', false, '', ''))
+    t(split, expected_columns, actual_columns, matches_expected_order, missing_expected_columns, unexpected_columns)"""

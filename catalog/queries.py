@@ -74,6 +74,23 @@ def csv_round_trip(spark, d):
     return read_csv(spark, path).select("ID", "TEXT", F.col("place").cast("bigint").alias("row_idx"))
 
 
+@query
+def submission_csv(spark, d):
+    """A submission as one CSV file, read back with its order."""
+    i = F.col("row_idx")
+    path = f"{work_dir(spark)}/submission-{uuid.uuid4().hex}"
+    W.write_submission(V.test_ids(spark, d).select("row_idx", "ID", (i % 3).cast("int").alias("LABEL")), path, one_file=True)
+    return read_csv(spark, path).select("ID", "LABEL", "row_idx")
+
+
+@query
+def column_report(spark, d):
+    """Columns of the given tables against what a corpus of labelled texts would have."""
+    tables = {name: V.table(spark, d, name) for name in ("documents", "labels", "benchmark")}
+    expected = {"documents": ["doc_id", "text", "label"], "labels": tables["labels"].columns, "benchmark": ["text", "item_id"]}
+    return K.column_report(tables, expected)
+
+
 def _some_labels(spark, d) -> DataFrame:
     """Documents with label texts of every kind a reader may meet."""
     i = F.col("row_idx")
@@ -132,6 +149,14 @@ def label_conflicts(spark, d):
     )
 
 
+@query
+def conflict_examples(spark, d):
+    """The first conflicts in source order, as an error message shows them."""
+    return D.conflict_examples(D.label_conflicts(V.conflict(spark, d))).withColumn(
+        "labels", F.array_join(F.col("labels").cast("array<string>"), ",")
+    )
+
+
 @query
 def validate_submission(spark, d):
     test = V.test_ids(spark, d)
@@ -659,9 +684,10 @@ def _formula_model(docs: DataFrame) -> C.TwoStageModel:
 
 @query
 def two_stage_predict_formula(spark, d):
-    """Predictions under weights that are a formula of the term's length: routing and joins, no fit."""
-    model = _formula_model(C.prepare(V.train(spark, d)))
-    return _round(C.predict(C.prepare(V.test(spark, d)), model))
+    """Predictions of a saved and loaded model whose weights are a formula of the term's length: no fit."""
+    path = f"{work_dir(spark)}/model-{uuid.uuid4().hex}"
+    C.save(_formula_model(C.prepare(V.train(spark, d))), path)
+    return _round(C.predict(C.prepare(V.test(spark, d)), C.load(spark, path)))
 
 
 @query

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexisieve.functions.normalize import is_blank, text_or_empty
 from lexisieve.functions.patterns import WORD, count_char, count_chars
 
-# --- fixed values: names and order of the outputs -----------------------------
+# --- fixed values: names and order of the outputs, patterns -------------------
 
 NUMERIC_MEASURES = [
     "char_count", "word_count", "exclamation_count", "question_count", "uppercase_ratio",
@@ -28,6 +28,8 @@ SURFACE_FEATURES = [
     "question_count", "uppercase_ratio", "digit_ratio", "punct_ratio",
     "has_repeated_punctuation",
 ]
+REPORT_URL, REPORT_HTML = r"(?iu)https?://|www\.", r"(?iu)<[^>]+>|&[a-z]+;"
+REPORT_REPEATED, SURFACE_REPEATED = "[!?.,;:]{3,}", r"([!?.,;:])\1|!\?|\?!"
 
 
 def report_measures(text: Column) -> dict[str, Column]:
@@ -42,9 +44,9 @@ def report_measures(text: Column) -> dict[str, Column]:
         "question_count": count_char(raw, "?").cast("double"),
         "uppercase_ratio": F.coalesce(F.try_divide(capitals, letters), F.lit(0.0)),
         "is_blank_text": is_blank(text),
-        "has_url": raw.rlike(r"(?iu)https?://|www\."),
-        "has_html": raw.rlike(r"(?iu)<[^>]+>|&[a-z]+;"),
-        "has_repeated_punctuation": raw.rlike("[!?.,;:]{3,}"),
+        "has_url": raw.rlike(REPORT_URL),
+        "has_html": raw.rlike(REPORT_HTML),
+        "has_repeated_punctuation": raw.rlike(REPORT_REPEATED),
     }
 
 
@@ -78,6 +80,6 @@ def surface_features(base_text: Column) -> dict[str, Column]:
         _share(count_chars(base_text, r"\p{Lu}"), count_chars(base_text, r"\p{L}")),
         _share(_count_digits(base_text), chars),
         _share(count_chars(base_text, r"\p{P}"), chars),
-        base_text.rlike(r"([!?.,;:])\1|!\?|\?!"),
+        base_text.rlike(SURFACE_REPEATED),
     ]
     return {name: m.cast("double") for name, m in zip(SURFACE_FEATURES, measures)}

@@ -113,6 +113,9 @@ NEGATION_TRIGGERS = [
     "not", "no", "never", "cannot", "without", "hardly", "barely", "rarely", "neither", "nor",
 ]
 NEGATION_BOUNDARIES = ".!?;:"
+EMAIL = r"[A-Z0-9._%+-]++@[A-Z0-9.-]+\.[A-Z]{2,}"
+MIXED_MARKS, EXCLAMATIONS, QUESTIONS = r"(?:!\?|\?!)[!?]*", r"!{2,}", r"\?{2,}"
+ELONGATION = r"([A-Za-z])\1{2,}"
 NEGATION_WINDOW = 4
 
 # --- whitespace, keys -------------------------------------------------------
@@ -296,8 +299,8 @@ def drop_unseen(col: Column) -> Column:
 
 
 def mask_email(col: Column) -> Column:
-    address = rf"(?iu){EDGE}[A-Z0-9._%+-]++@[A-Z0-9.-]+\.[A-Z]{{2,}}{EDGE}"
-    return F.when(col.contains("@"), F.regexp_replace(col, address, " __email__ ")).otherwise(col)
+    masked = F.regexp_replace(col, f"(?iu){EDGE}{EMAIL}{EDGE}", " __email__ ")
+    return F.when(col.contains("@"), masked).otherwise(col)
 
 
 def mask_url(col: Column) -> Column:
@@ -389,14 +392,14 @@ def mark_grades(col: Column) -> Column:
 
 
 def mark_punctuation_runs(col: Column) -> Column:
-    marked = F.regexp_replace(col, r"(?:!\?|\?!)[!?]*", " __mixed_punct__ ")
-    marked = F.regexp_replace(marked, r"!{2,}", " __repeat_exclamation__ ")
-    marked = F.regexp_replace(marked, r"\?{2,}", " __repeat_question__ ")
+    marked = F.regexp_replace(col, MIXED_MARKS, " __mixed_punct__ ")
+    marked = F.regexp_replace(marked, EXCLAMATIONS, " __repeat_exclamation__ ")
+    marked = F.regexp_replace(marked, QUESTIONS, " __repeat_question__ ")
     return F.when(col.rlike("[!?]{2}"), marked).otherwise(col)
 
 
 def shorten_elongation(col: Column) -> Column:
-    return F.regexp_replace(col, r"([A-Za-z])\1{2,}", "$1$1")
+    return F.regexp_replace(col, ELONGATION, "$1$1")
 
 
 # --- negation ---------------------------------------------------------------
