@@ -22,17 +22,30 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go.
+
+    Null, empty and short texts go; rows are judged one by one, repeated ones alike; texts of
+    any length are judged whole; an empty table stays empty; other columns stay as they are.
+    """
     return quality.drop_low_quality(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that links connect, the one with the least id stays."""
+    """Of each group of documents that links connect, the one with the least id stays.
+
+    Texts without words link with nothing and stay; rows of one id stay or go together; rows
+    without an id stay; an empty table stays empty; other columns stay as they are.
+    """
     return jaccard.keep_one_of_each(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; no document goes. ``n_chars`` follows the text."""
+    """Secrets are replaced by a mark; no document goes. ``n_chars`` follows the text.
+
+    Null texts stay null and keep their ``n_chars``; rows without an id are not redacted; without
+    labelled findings of both kinds every candidate is taken for a secret; an empty table
+    stays empty; other columns stay as they are.
+    """
     found = secrets.scan_secrets(docs)
     return secrets.redact(docs, found).withColumn(
         "n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))
@@ -40,12 +53,20 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by probabilities raked to source, language and topic."""
+    """Documents are sampled by probabilities raked to source, language and topic.
+
+    Rows of one id share their fate; nulls are values of their own; texts without words are
+    kept with their cell's probability; an empty table stays empty; columns stay as they are.
+    """
     return mixing.sample_mixture(docs, MIXTURE)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and whether they decode to it."""
+    """Token ids of each text, and whether they decode to it.
+
+    Null text is encoded as empty; each row is encoded, repeated ones too; an empty table
+    gives an empty one; of the other columns id, language and source stay.
+    """
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode_rows(docs, ["doc_id", "lang", "source", "text"], path, pattern)
     return encoded.select(
