@@ -3,7 +3,12 @@ from pyspark.sql import functions as F
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns a caller may have that the operators use as names of their own.
-CLASHING = ("s", "n", "token", "tokens", "words", "label", "kept", "x", "v", "digest", "shard", "key", "probability")
+CLASHING = (
+    "s", "n", "token", "tokens", "words", "label", "kept", "x", "v", "digest", "shard", "key", "probability",
+    "_id", "_spans", "asked_id", "requests", "pair", "at", "reach", "rep", "windows", "mine", "other", "class", "root",
+    "low", "high", "path", "value", "start", "end", "size", "text_crc32", "places", "known", "tokens_a", "component",
+    "_text", "_lang", "_words", "_bucket", "_row", "_n", "ids", "decoded", "id", "count", "topic", "n_tokens",
+)
 
 
 @pytest.fixture

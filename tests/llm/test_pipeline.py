@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexisieve.llm import bpe, jaccard, mixing, quality, secrets
+from lexisieve.session import materialize
 from test_jaccard import brute_force
 from test_quality import brute_force as quality_counts
+from texts import prose
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +76,34 @@ def test_ids_decode_to_the_texts(stages):
 def test_run_equals_the_stages(spark, sf_dir, stages):
     assert ids(corpus_pipeline.run(spark, sf_dir)) == ids(stages["token_ids"])
     assert jaccard.PERCENT == 80 and jaccard.WORDS == 5
+
+
+def test_stages_on_odd_rows(spark, make_docs):
+    """Null and empty texts, repeated rows, nulls in all columns, a very long text, clashing names."""
+    key = "AKIA" + "ABCDEFGH23456722"
+    texts = [None, "", f"{prose(120, 1)} {key}", prose(120, 2), prose(120, 2), prose(24_000, 3), prose(90, 4)]
+    docs = make_docs(texts)
+    docs = docs.union(docs.filter("doc_id = 6"))
+    nowhere = make_docs([prose(80, 9)], lang=None, source=None, first=50)
+    docs = docs.union(nowhere).union(nowhere.withColumn("doc_id", F.lit(None).cast("bigint")))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        after = materialize(stage(spark, docs, ""))
+        if name != "token_ids":
+            assert after.columns == docs.columns, name
+        kept[name] = sorted(r.doc_id if r.doc_id is not None else -1 for r in after.select("doc_id").collect())
+        docs = after if name != "mixture" else docs  # the encoder gets the texts that were not sampled too
+    assert kept["quality_rules"] == [-1, 2, 3, 4, 5, 6, 6, 50]
+    assert kept["near_copies"] == [-1, 2, 3, 5, 6, 6, 50] == kept["secret_scans"]
+    assert set(kept["mixture"]) <= set(kept["secret_scans"])
+    assert kept["token_ids"] == kept["secret_scans"]
+    rows = after.collect()
+    assert all(r.intact for r in rows)
+    assert max(r.n_tokens for r in rows) > 24_000
+
+
+def test_stages_on_an_empty_table(spark, make_docs):
+    docs = make_docs([])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, ""))
+        assert docs.count() == 0, name
