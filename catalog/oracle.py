@@ -766,8 +766,9 @@ ORACLE["holdout_eval_formula"] = _on_keys(
 )
 
 # a fitted model has no SQL form, what must hold for it has
-ORACLE["holdout_beats_majority"] = _on_keys(
-    "SELECT sum(quota)::BIGINT AS held_out_rows, true AS beats_majority FROM quotas", **_HALVES
+ORACLE["holdout_against_majority"] = _on_keys(
+    """SELECT sum(quota)::BIGINT AS held_out_rows, true AS beats_majority_on_fitted_rows, true AS no_worse_on_held_out_rows
+    FROM quotas""", **_HALVES
 )
 
 ORACLE["sketched_quantiles"] = """
