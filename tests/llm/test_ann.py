@@ -67,3 +67,30 @@ def test_large_leaves_are_cut_into_blocks(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert ann.nearest(frame(spark, []), frame(spark, []), 5).count() == 0
+
+
+def test_recall_of_the_registered_settings_on_unstructured_vectors(spark):
+    """Independent unit vectors, like the given ones: the hardest case, and more than are looked at whole."""
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(10_000, 64))
+    data = (data / np.linalg.norm(data, axis=1)[:, None]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    df = frame(spark, rows)
+    got = found(ann.nearest(df, df.filter("vec_id % 50 = 0"), 20))
+    scores = data[::50].astype(float) @ data.astype(float).T
+    scores[np.arange(200), np.arange(0, 10_000, 50)] = -2
+    want = np.argsort(-scores, axis=1)[:, :20]
+    hits = sum(len({i for _, i in got[50 * q]} & set(want[q].tolist())) for q in range(200))
+    assert all(len(x) == 20 for x in got.values()) and hits >= 0.9 * 20 * 200
+
+
+def test_equal_hot_queries_and_small_teams(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 30)
+    monkeypatch.setattr(ann, "ASKED", 10)
+    rng = np.random.default_rng(9)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)]
+    rows += [(300 + i, np.round(v, 2).tolist()) for i, v in enumerate(rng.normal(size=(300, 3)))]
+    df = frame(spark, rows)
+    got = found(ann.nearest(df, df, 7))
+    want = exact(rows, range(600), 7)
+    assert {q: [i for _, i in x] for q, x in got.items()} == {q: [i for _, i in x] for q, x in want.items()}
