@@ -52,6 +52,31 @@ def test_documents_of_terms_against_brute_force(made):
     assert {(r.branch, r.term): r.df for r in read.collect()} == kept
 
 
+def test_occurrences_against_brute_force(made):
+    rows, docs, _ = made
+    want = sum((Counter({(b, t): n for b, found in grams(text).items() for t, n in found.items()}) for _, text in rows), Counter())
+    assert {(r.branch, r.term): r.n for r in X.term_occurrences(docs, RANGES).collect()} == want
+
+
+def test_surface_features_are_measured_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "A b! 2"), (2, None), (3, "Wow!! ok")], "row_idx long, base_text string")
+    docs = docs.withColumn("base_text", F.coalesce("base_text", F.lit("")))
+    measured = X.measured_surface(docs)
+    scaled = X.scaled_surface(measured, X.surface_scale(measured))
+    assert scaled.exceptAll(X.scaled_surface(docs, X.surface_scale(docs))).isEmpty() and scaled.count() == 3
+    assert "regexp" not in scaled._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_large_alphabet(spark):
+    text = " ".join("".join(chr(0x4E00 + (7 * i + k) % 4000) for k in range(6)) for i in range(800))
+    docs = spark.createDataFrame([(1, text), (2, text[: len(text) // 2])], "row_idx long, clean_text string")
+    want = Counter()
+    for t in (text, text[: len(text) // 2]):
+        want.update({f" {w} "[i : i + n] for w in t.split() for n in range(3, 7) for i in range(len(w) + 3 - n)})
+    terms = X.block_terms(docs, {"char": (3, 6)})
+    assert {r.term: r.df for r in X.document_frequency(terms).collect()} == want
+
+
 def test_a_term_is_one_row_of_a_block(made):
     """Not of a document: what is shuffled by term does not grow with repeated words."""
     rows, _, terms = made
