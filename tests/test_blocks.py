@@ -109,6 +109,15 @@ def test_weights_and_scores_against_brute_force(spark, made):
     assert {r.row_idx: r.margin for r in scored} == pytest.approx({r[0]: margins[r[0]] + 0.5 for r in rows if r[0] is not None})
 
 
+def test_rows_for_a_fit_come_in_order(spark):
+    """Sums of squares then do not change with the order in which a block found its terms."""
+    docs = spark.createDataFrame([(1, "zz bb aa mm"), (2, "mm zz aa")], "row_idx long, clean_text string")
+    terms = X.block_terms(docs, {"word": (1, 2)})
+    vocab = X.vocabulary(X.document_frequency(terms), F.lit(2), {}, {})
+    rows = [(r.row_idx, r.term) for r in X.weigh(terms, vocab).collect()]
+    assert rows == sorted(rows) and len(rows) == 12
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "row_idx long, clean_text string")
     terms = X.block_terms(docs, RANGES)
