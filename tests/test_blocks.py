@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexisieve.operators import blocks as B
 from lexisieve.operators import features as X
+from lexisieve.operators.skew import with_dense_index
 
 RANGES = {"word": (1, 3), "char": (3, 5)}
 
@@ -118,6 +119,25 @@ def test_rows_for_a_fit_come_in_order(spark):
     assert rows == sorted(rows) and len(rows) == 12
 
 
+def test_rows_for_a_fit_are_made_in_their_block(spark):
+    """One row for each ID, features in order; no row for each feature is gathered again."""
+    docs = spark.createDataFrame(
+        [(1, "zz bb aa mm aa"), (2, "mm zz aa"), (2, "aa bb"), (None, "aa bb"), (3, None), (4, "only")],
+        "row_idx long, clean_text string",
+    )
+    terms = X.block_terms(docs, RANGES)
+    vocab = X.vocabulary(X.document_frequency(terms), F.lit(6), {"word": 2, "char": 2}, {})
+    vocab = with_dense_index(vocab, ["branch", "term"], "idx")
+    want = {}
+    for r in X.tfidf(terms, vocab).join(vocab, ["branch", "term"]).filter("row_idx is not null").collect():
+        want.setdefault(r.row_idx, []).append((r.idx, r.weight))
+    rows = {r.row_idx: list(zip(r.idx, r.value)) for r in B.block_entries(terms, vocab).collect() if r.row_idx is not None}
+    assert rows.keys() == want.keys() == {1, 2}
+    for i, entries in rows.items():
+        assert [j for j, _ in entries] == sorted(j for j, _ in want[i])
+        assert [x for _, x in entries] == pytest.approx([x for _, x in sorted(want[i])])
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "row_idx long, clean_text string")
     terms = X.block_terms(docs, RANGES)
