@@ -154,3 +154,37 @@ def test_char_ngrams_are_made_of_distinct_words(spark, sf_dir):
     plan = QUERIES["char_ngrams"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     # the plan is printed from its top: n-grams are made above the grouping by word
     assert 0 <= plan.index("regexp_extract_all") < plan.index("Aggregate [word")
+
+
+def test_terms_travel_in_lists(made, monkeypatch):
+    """A row is a block's terms of a bucket, whatever their number; groups of buckets do not change what is counted."""
+    rows, docs, terms = made
+    keys = terms.lists.groupBy("block", "branch", "bucket").agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
+    assert all(r.k == 1 for r in keys) and sum(r.n for r in keys) == terms.terms.count()
+    for group in (B.GROUP, 40):
+        monkeypatch.setattr(B, "GROUP", group)
+        found = X.document_frequency(terms, {"word": 2, "char": 2})
+        assert {(r.branch, r.term): r.df for r in found.collect()} == {k: n for k, n in counted(rows).items() if n >= 2}
+        weights = X.tfidf(terms, X.vocabulary(found, F.lit(len(rows)), {}, {}))
+        assert weights.select("branch", "term").distinct().count() == found.count()
+        assert "SortMergeJoin" not in weights._jdf.queryExecution().executedPlan().toString()
+
+
+def test_given_texts_are_shuffled_once(spark, made):
+    """Documents whose size is known are stored by block; neither counting nor weighing deals them again."""
+    rows, docs, terms = made
+    stored = X.block_terms(docs, RANGES, chars=docs.agg(F.sum(F.length("clean_text"))).first()[0])
+    assert "Exchange" not in stored.docs.groupBy("block").applyInArrow(lambda t: t, stored.docs.schema)._jdf.queryExecution().executedPlan().toString()
+    vocab = X.vocabulary(X.document_frequency(terms), F.lit(len(rows)), {"word": 2, "char": 2}, {})
+    key = lambda df: Counter((r.row_idx, r.branch, r.term, round(r.weight, 9)) for r in df.collect())
+    assert key(X.tfidf(stored, vocab)) == key(X.tfidf(terms, vocab))
+
+
+def test_buckets_depend_on_bytes_alone():
+    import pyarrow as pa
+
+    terms = ["", "a", "b", "ab", "ba", "déjà vu", "x" * 100_000] + [f"t{i}" for i in range(70_000)]
+    found = B._bucket(pa.array(terms, pa.large_string()))
+    assert found[:7].tolist() == [int(B._bucket(pa.array([t], pa.large_string()))[0]) for t in terms[:7]]
+    assert (found[9:] == B._bucket(pa.array(terms, pa.large_string()).slice(9))).all()
+    assert max(Counter(found[7:].tolist()).values()) < 40
