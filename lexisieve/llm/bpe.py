@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexisieve.llm.common import free_memory
+
 MOST_PIECES, MOST_PREFIXES, MOST_PAIRS = 400_000, 150_000, 200_000
 SLICE = 256
 LONG_PIECE = 64
@@ -286,6 +288,8 @@ def encode_rows(
                     )
         finally:
             pairs.forget()
+            batch = part = None
+            free_memory()
 
     return given.mapInArrow(run, schema)
 

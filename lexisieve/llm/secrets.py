@@ -35,7 +35,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexisieve.llm.common import split_words
+from lexisieve.llm.common import free_memory, split_words
 from lexisieve.session import materialize
 
 # --- fixed values: candidate patterns, names of secrets, known key formats ----
@@ -54,6 +54,8 @@ PLAIN_RUN, CONTEXT = 24, 48
 BEFORE = re.compile(r"([A-Za-z_\-]+)[\"']?[\s:=\"']*$")
 AFTER = re.compile(r"^[\"']?\W*([A-Za-z_\-]+)")
 SMALL_BROADCAST = 200_000
+# Rows of a batch that are Python texts at a time.
+CHUNK = 500
 
 
 @dataclass(frozen=True)
@@ -130,16 +132,20 @@ def scan(
     known = Dictionary(words or [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = None
         for batch in batches:
-            rows = []
-            for doc, path, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for start, end, before, after, assigned in find_candidates(text or ""):
-                    value = text[start:end]
-                    rows.append((doc, path, start, end, value, before, after, assigned, known.coverage(value)))
-            columns = list(zip(*rows)) if rows else [()] * len(types)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types.values())], list(types)
-            )
+            for at in range(0, len(batch), CHUNK):
+                rows = []
+                for doc, path, text in zip(*(c.slice(at, CHUNK).to_pylist() for c in batch.columns)):
+                    for start, end, before, after, assigned in find_candidates(text or ""):
+                        value = text[start:end]
+                        rows.append((doc, path, start, end, value, before, after, assigned, known.coverage(value)))
+                columns = list(zip(*rows)) if rows else [()] * len(types)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types.values())], list(types)
+                )
+        del batch
+        free_memory()
 
     types = {
         "doc_id": pa.int64(), "path": pa.string(), "start": pa.int32(), "end": pa.int32(), "value": pa.string(),

@@ -134,3 +134,28 @@ def test_redact_with_clashing_names(make_docs):
     done = secrets.redact(docs, secrets.scan_secrets(docs))
     assert done.columns == docs.columns
     assert {r.doc_id: r.text for r in done.collect()} == {0: "token = [SECRET] end", 1: "plain", 2: None}
+
+
+def test_a_worker_holds_few_texts_and_frees_them(monkeypatch):
+    """A batch is scanned in parts, and nothing of it is kept by a worker that waits for other work."""
+    import pyarrow as pa
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    freed = []
+    monkeypatch.setattr(secrets, "free_memory", lambda: freed.append(pa.total_allocated_bytes()))
+    monkeypatch.setattr(secrets, "F", type("Functions", (), {"col": staticmethod(lambda name: type("C", (), {"cast": lambda s, t: s})())}))
+    run, before = secrets.scan(Docs()), pa.total_allocated_bytes()
+    n = 3 * secrets.CHUNK + 1
+    texts = [f"token = abc{i}def123456 {'x ' * 500}" for i in range(n)]
+    whole = pa.record_batch([pa.array(range(n)), pa.array(["p"] * n), pa.array(texts)], names=["d", "s", "t"])
+    given, size = iter([whole]), whole.nbytes
+    del whole
+    rows = [len(part) for part in run(given)]
+    assert sum(rows) == n and len(rows) == 4
+    assert len(freed) == 1 and freed[0] - before < size / 4
